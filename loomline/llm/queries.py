@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomline.llm import exact_dedup, mixing, simhash
+from loomline.llm import exact_dedup, langid, mixing, simhash
+from loomline.llm.common import crc_mod
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs, crc_mod("doc_id", 3) != 1)
+    return langid.identify(docs, model, keep=["doc_id"]).select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -26,7 +34,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op7_mixing, op8_simhash)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op7_mixing, op8_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
