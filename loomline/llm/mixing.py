@@ -62,7 +62,7 @@ def due(demanded: Column, target: Column, slope: Column) -> Column:
     """The time u at which cumulative demand target * ((1 - slope) u + slope u^2) reaches demanded."""
     part = F.when(target > 0, F.least(F.lit(1.0), demanded / target)).otherwise(F.lit(0.0))
     flat = 1 - slope
-    return F.when(slope == 0, part).otherwise((F.sqrt(flat * flat + 4 * slope * part) - flat) / (2 * slope))
+    return F.when((slope == 0) | (part == 0), part).otherwise((F.sqrt(flat * flat + 4 * slope * part) - flat) / (2 * slope))
 
 
 def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None, **options) -> DataFrame:
