@@ -60,7 +60,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tested = with_possible(keys, "sha", written(words, "exact-filter"), bits, "possible")
     alone = tested.filter(~F.col("possible")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha", F.lit(True).alias("straight"))
     rest = tested.filter("possible").select("doc_id", "sha")
-    groups = rest.groupBy("sha").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Written, so that both sides of the join are plain exchanges, which adaptive execution can split at a hot text.
+    groups = written(rest.groupBy("sha").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "exact-groups")
     met = rest.join(groups, "sha").select("doc_id", "keep_id", "group_size", "sha", F.lit(False).alias("straight"))
     return alone.unionByName(met).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "straight")
 
@@ -75,6 +76,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tested = with_possible(hashed, key, words, bits, possible)
     alone = tested.filter(~F.col(possible))
     # Ids decide, on slim rows; the texts of dropped copies leave before any text shuffles.
-    groups = with_possible(keys, "sha", words, bits, "possible").filter("possible").groupBy("sha").agg(F.max("doc_id").alias(keep))
+    groups = written(with_possible(keys, "sha", words, bits, "possible").filter("possible").groupBy("sha").agg(F.max("doc_id").alias(keep)), "exact-groups")
     rest = tested.filter(possible).join(groups.withColumnRenamed("sha", group), F.col(key) == F.col(group)).filter(F.col(id_col).eqNullSafe(F.col(keep)))
     return alone.select(*docs.columns).unionByName(rest.dropDuplicates([key]).select(*docs.columns))
