@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import exact_dedup, langid, mixing, simhash
+from loomline.llm import exact_dedup, langid, mixing, packing, simhash
 from loomline.llm.common import crc_mod
 
 
@@ -33,8 +34,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "<|endoftext|>")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op7_mixing, op8_simhash)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op7_mixing, op8_simhash, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
