@@ -119,13 +119,16 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def training_order(mixed: DataFrame) -> DataFrame:
-    """Rows range-sorted by position; those of which nothing is taken come last."""
-    return mixed.repartitionByRange(F.col("position").asc_nulls_last()).sortWithinPartitions(F.col("position").asc_nulls_last())
+def training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows range-sorted by position; those of which nothing is taken come last. Ids part rows of one position."""
+    order = [F.col("position").asc_nulls_last(), F.xxhash64(F.col(id_col))]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
+def repeated(mixed: DataFrame, columns: list[str], id_col: str = "doc_id") -> DataFrame:
     """The mix itself: a row per copy (the document the target falls in is whole), range-sorted by the time it is due."""
     when = clear_name(mixed, "when")
-    copies = mixed.filter("copies > 0").withColumn(when, F.explode(F.when(F.col("copies") > 1, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: F.col("position") + (F.col("last_position") - F.col("position")) * k / (F.col("copies") - 1))).otherwise(F.array("position"))))
-    return copies.repartitionByRange(when).sortWithinPartitions(when).select(*columns)
+    step = (F.col("last_position") - F.col("position")) / (F.col("copies") - 1)
+    times = F.when(F.col("copies") > 1, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: F.col("position") + step * k)).otherwise(F.array("position"))
+    order = [F.col(when), F.xxhash64(F.col(id_col))]
+    return mixed.filter("copies > 0").withColumn(when, F.explode(times)).repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
