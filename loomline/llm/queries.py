@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import exact_dedup, langid, mixing, packing, simhash
+from loomline.llm import exact_dedup, langid, mixing, packing, quality_rules, resampling, simhash
 from loomline.llm.common import crc_mod
 
 
@@ -26,6 +26,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.cascade(_table(spark, sf_dir, "documents"), keep=["doc_id"], report=quality_rules.BASE)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.training_order(mixing.curriculum(_table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
@@ -38,8 +42,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "<|endoftext|>")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op7_mixing, op8_simhash, op9_packing)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op4_quality_rules, op7_mixing, op8_simhash, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
