@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import exact_dedup, langid, mixing, packing, quality_rules, resampling, simhash
+from loomline.llm import class_lm, exact_dedup, langid, mixing, packing, quality_rules, resampling, simhash
 from loomline.llm.common import crc_mod
 
 
@@ -26,6 +26,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
+    scored = class_lm.score(docs, *class_lm.fit(docs, ~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.cascade(_table(spark, sf_dir, "documents"), keep=["doc_id"], report=quality_rules.BASE)
 
@@ -47,7 +54,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op4_quality_rules, op7_mixing, op8_simhash, op9_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_class_lm, op4_quality_rules, op7_mixing, op8_simhash, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
