@@ -87,3 +87,20 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_rows: in
             held += len(t)
         if begin < len(texts):
             yield batch.slice(begin), texts[begin:]
+
+
+class Numbering(dict):
+    """Numbers words as they are first looked up: ``map(numbering.__getitem__, words)``. ``new`` lists those since take()."""
+
+    def __init__(self, known=()):
+        super().__init__({w: i for i, w in enumerate(known)})
+        self.new: list = []
+
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+    def take(self) -> list:
+        new, self.new = self.new, []
+        return new

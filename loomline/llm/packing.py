@@ -30,55 +30,83 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, written
+from loomline.llm.common import Numbering, chunks, written
 
 CAPACITY = 2048
 END_ID = 0
 #: Words whose ids a task remembers, and words encoded at a time.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 ENCODE_WORDS = 2_000
+#: A control character: a word of its own with one id.
+SEPARATOR = "\x01"
+
+
+def _core(word: bytes) -> tuple[bytes, bytes]:
+    """A word in two parts with the same ids: most words recur with another case or other punctuation at the end.
+
+    Only where this is sure: the tokenizer parts ASCII letters and digits from punctuation, and lower-cases anyway.
+    """
+    core = word.rstrip(b".,;:!?")
+    if core and core is not word and core[-1:].isalnum():
+        return core.lower() if core.isalnum() else core, word[len(core) :]
+    return word.lower() if word.isalnum() else word, b""
+
+
+def _gather(ids: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The ids of the entries at these numbers, one after the other."""
+    n = lengths[at]
+    ends = np.cumsum(n)
+    return ids[np.repeat((np.cumsum(lengths) - lengths)[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 class WordIds:
-    """The ids of words. An id that no word has (the separator's) parts the words that are encoded together."""
+    """The ids of words. Many words are encoded as one text, parted by a word whose single id no other word has."""
 
-    def __init__(self, tokenizer_path: str, separator: str):
+    def __init__(self, tokenizer_path: str, separator: str = SEPARATOR):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(tokenizer_path)
-        self.separator, self.mark = separator, self.encoder.token_to_id(separator)
+        self.separator, (self.mark,) = separator, self.encoder.encode(separator, add_special_tokens=False).ids
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[bytes, int] = {b"": 0}  # no word is empty: the document's end
-        self.ids, self.lengths = [np.array([END_ID], np.uint32)], [np.array([1])]
+        """Number 0 is the document's end among the words, and no ids among the cores."""
+        self.at, self.ids, self.lengths = Numbering([b""]), [np.array([END_ID], np.uint32)], [np.array([1])]
+        self.cores, self.core_ids, self.core_lengths = Numbering([b""]), np.empty(0, np.uint32), np.array([0])
 
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of each word's)."""
         texts = [w.decode("utf-8", "replace") for w in words]
-        ids = np.array(self.encoder.encode(f" {self.separator} ".join(texts), add_special_tokens=False).ids, np.uint32)
-        parts = np.split(ids, np.flatnonzero(ids == self.mark))
-        parts = [parts[0], *[p[1:] for p in parts[1:]]]
-        if len(parts) != len(words):  # a word holds the separator itself
-            parts = [np.array(x.ids, np.uint32) for x in self.encoder.encode_batch(texts, add_special_tokens=False)]
-        return parts
+        (whole,) = self.encoder.encode_batch_fast([f" {self.separator} ".join(texts)], add_special_tokens=False)
+        ids = np.array(whole.ids, np.uint32)
+        marks = np.flatnonzero(ids == self.mark)
+        if len(marks) != len(words) - 1:  # a word holds the separator itself
+            parts = [x.ids for x in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for p in parts for i in p], np.uint32), np.array([len(p) for p in parts])
+        return np.delete(ids, marks), np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1
 
     def look(self, words: list[bytes]) -> np.ndarray:
+        """The words' numbers."""
         if len(self.at) > CACHE_WORDS:
             self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.at]
-        for i in range(0, len(new), ENCODE_WORDS):
-            parts = self._encode(new[i : i + ENCODE_WORDS])
-            self.ids += parts
-            self.lengths.append(np.array([len(p) for p in parts]))
-        self.at |= {w: len(self.at) + i for i, w in enumerate(new)}
-        at = self.at
-        return np.fromiter((at[w] for w in words), np.int64, len(words))
-
-    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(all ids, begin of each word's, number of each word's)."""
+        out = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        if new := self.at.take():
+            parts = np.fromiter((self.cores[x] for w in new for x in _core(w)), np.int64, 2 * len(new))
+            found, more_ids, more_lengths = self.cores.take(), [], []
+            for i in range(0, len(found), ENCODE_WORDS):
+                ids, lengths = self._encode(found[i : i + ENCODE_WORDS])
+                more_ids.append(ids)
+                more_lengths.append(lengths)
+            self.core_ids, self.core_lengths = np.concatenate((self.core_ids, *more_ids)), np.concatenate((self.core_lengths, *more_lengths))
+            self.ids.append(_gather(self.core_ids, self.core_lengths, parts))
+            self.lengths.append(self.core_lengths[parts].reshape(-1, 2).sum(1))
+        return out
+
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of each word's)."""
         self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
-        return self.ids[0], np.cumsum(self.lengths[0]) - self.lengths[0], self.lengths[0]
+        return self.ids[0], self.lengths[0]
 
 
 def token_ids(texts: list[bytes], words: WordIds) -> tuple[np.ndarray, np.ndarray]:
@@ -89,19 +117,17 @@ def token_ids(texts: list[bytes], words: WordIds) -> tuple[np.ndarray, np.ndarra
         flat += ws
         flat.append(b"")
     at = words.look(flat)
-    ids, begins, lengths = words.table()
-    n = lengths[at]
-    ends = np.cumsum(n)
-    out = ids[np.repeat(begins[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+    ids, lengths = words.table()
+    ends = np.cumsum(lengths[at])
     last = np.cumsum([len(ws) + 1 for ws in split]) - 1
-    return out, np.diff(np.concatenate(([0], ends[last])))
+    return _gather(ids, lengths, at), np.diff(np.concatenate(([0], ends[last])))
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, separator: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, chunk and the piece's rank among those of its length in the chunk."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path, separator)
+        words = WordIds(tokenizer_path)
         task = TaskContext.get().partitionId() << 32
         for part, texts in chunks(batches, "text"):
             ids, n = token_ids(texts, words)
@@ -206,9 +232,9 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Run], i
     return runs, opened
 
 
-def pack(docs: DataFrame, tokenizer_path: str, separator: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Each piece with its sequence_id and its offset there."""
-    cut = written(pieces(docs, tokenizer_path, separator, id_col, text_col, capacity), "pack-pieces")
+    cut = written(pieces(docs, tokenizer_path, id_col, text_col, capacity), "pack-pieces")
     by_chunk = written(cut.groupBy("length", "chunk").agg(F.count("*").alias("n")), "pack-counts")
     counts = {r["length"]: r["n"] for r in by_chunk.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     runs, _ = plan(counts, capacity)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import class_lm, exact_dedup, langid, mixing, packing, quality_rules, resampling, simhash
+from loomline.llm import class_lm, exact_dedup, html_extract, langid, licenses, mixing, packing, quality_rules, resampling, simhash
 from loomline.llm.common import crc_mod
 
 
@@ -37,6 +37,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.cascade(_table(spark, sf_dir, "documents"), keep=["doc_id"], report=quality_rules.BASE)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("spans")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.training_order(mixing.curriculum(_table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
@@ -46,7 +54,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "<|endoftext|>")
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +62,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_class_lm, op4_quality_rules, op7_mixing, op8_simhash, op9_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_class_lm, op4_quality_rules, op5_html_extraction, op6_license_scan, op7_mixing, op8_simhash, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
