@@ -75,7 +75,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     words = written(words, "exact-filter")
     tested = with_possible(hashed, key, words, bits, possible)
     alone = tested.filter(~F.col(possible))
-    # Ids decide, on slim rows; the texts of dropped copies leave before any text shuffles.
-    groups = written(with_possible(keys, "sha", words, bits, "possible").filter("possible").groupBy("sha").agg(F.max("doc_id").alias(keep)), "exact-groups")
-    rest = tested.filter(possible).join(groups.withColumnRenamed("sha", group), F.col(key) == F.col(group)).filter(F.col(id_col).eqNullSafe(F.col(keep)))
+    # Text and id together pick the rows that stay, so the copies of a hot text are spread over all tasks.
+    groups = with_possible(keys, "sha", words, bits, "possible").filter("possible").groupBy("sha").agg(F.max("doc_id").alias(keep)).withColumnRenamed("sha", group)
+    rest = tested.filter(possible).join(groups, (F.col(key) == F.col(group)) & F.col(id_col).eqNullSafe(F.col(keep)), "left_semi")
     return alone.select(*docs.columns).unionByName(rest.dropDuplicates([key]).select(*docs.columns))
