@@ -22,6 +22,7 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,11 +53,11 @@ def _core(word: bytes) -> tuple[bytes, bytes]:
     return word.lower() if word.isalnum() else word, b""
 
 
-def _gather(ids: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _gather(ids: np.ndarray, begins: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The ids of the entries at these numbers, one after the other."""
     n = lengths[at]
     ends = np.cumsum(n)
-    return ids[np.repeat((np.cumsum(lengths) - lengths)[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+    return ids[np.repeat(begins[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 class WordIds:
@@ -67,6 +68,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(tokenizer_path)
+        self.is_end = np.zeros(self.encoder.get_vocab_size(), bool)
+        self.is_end[[i for t, i in self.encoder.get_vocab().items() if t.endswith(self.encoder.model.end_of_word_suffix or "</w>")]] = True
         self.separator, (self.mark,) = separator, self.encoder.encode(separator, add_special_tokens=False).ids
         self.clear()
 
@@ -74,17 +77,39 @@ class WordIds:
         """Number 0 is the document's end among the words, and no ids among the cores."""
         self.at, self.ids, self.lengths = Numbering([b""]), [np.array([END_ID], np.uint32)], [np.array([1])]
         self.cores, self.core_ids, self.core_lengths = Numbering([b""]), np.empty(0, np.uint32), np.array([0])
+        self.core_begins = np.array([0])
 
-    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, number of each word's)."""
+    def _joined(self, words: list[bytes], parted: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of each word's). parted: with separators; else each word must be one of letters only."""
         texts = [w.decode("utf-8", "replace") for w in words]
-        (whole,) = self.encoder.encode_batch_fast([f" {self.separator} ".join(texts)], add_special_tokens=False)
+        (whole,) = self.encoder.encode_batch_fast([(f" {self.separator} " if parted else " ").join(texts)], add_special_tokens=False)
         ids = np.array(whole.ids, np.uint32)
-        marks = np.flatnonzero(ids == self.mark)
-        if len(marks) != len(words) - 1:  # a word holds the separator itself
-            parts = [x.ids for x in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
-            return np.array([i for p in parts for i in p], np.uint32), np.array([len(p) for p in parts])
-        return np.delete(ids, marks), np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1
+        if parted:
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) == len(words) - 1:
+                return np.delete(ids, marks), np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1
+        else:
+            ends = np.flatnonzero(self.is_end[ids])  # each word has at least one, so as many as words is one each
+            if len(ends) == len(words):
+                return ids, np.diff(np.concatenate(([-1], ends)))
+        parts = [x.ids for x in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for p in parts for i in p], np.uint32), np.array([len(p) for p in parts])
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Adds words to the cores' table."""
+        plain = np.array([w.isalpha() or (not w.isascii() and w.decode("utf-8", "replace").isalpha()) for w in words], bool)
+        n = np.zeros(len(words), np.int64)
+        begins = np.zeros(len(words), np.int64)
+        pieces, held = [self.core_ids], len(self.core_ids)
+        for rows, parted in ((np.flatnonzero(plain), False), (np.flatnonzero(~plain), True)):
+            for i in range(0, len(rows), ENCODE_WORDS):
+                some = rows[i : i + ENCODE_WORDS]
+                ids, n[some] = self._joined([words[k] for k in some.tolist()], parted)
+                begins[some] = held + np.cumsum(n[some]) - n[some]
+                pieces.append(ids)
+                held += len(ids)
+        self.core_ids = np.concatenate(pieces)
+        self.core_begins, self.core_lengths = np.concatenate((self.core_begins, begins)), np.concatenate((self.core_lengths, n))
 
     def look(self, words: list[bytes]) -> np.ndarray:
         """The words' numbers."""
@@ -92,14 +117,10 @@ class WordIds:
             self.clear()
         out = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
         if new := self.at.take():
-            parts = np.fromiter((self.cores[x] for w in new for x in _core(w)), np.int64, 2 * len(new))
-            found, more_ids, more_lengths = self.cores.take(), [], []
-            for i in range(0, len(found), ENCODE_WORDS):
-                ids, lengths = self._encode(found[i : i + ENCODE_WORDS])
-                more_ids.append(ids)
-                more_lengths.append(lengths)
-            self.core_ids, self.core_lengths = np.concatenate((self.core_ids, *more_ids)), np.concatenate((self.core_lengths, *more_lengths))
-            self.ids.append(_gather(self.core_ids, self.core_lengths, parts))
+            parts = np.fromiter(map(self.cores.__getitem__, chain.from_iterable(map(_core, new))), np.int64, 2 * len(new))
+            if found := self.cores.take():
+                self._encode(found)
+            self.ids.append(_gather(self.core_ids, self.core_begins, self.core_lengths, parts))
             self.lengths.append(self.core_lengths[parts].reshape(-1, 2).sum(1))
         return out
 
@@ -120,7 +141,7 @@ def token_ids(texts: list[bytes], words: WordIds) -> tuple[np.ndarray, np.ndarra
     ids, lengths = words.table()
     ends = np.cumsum(lengths[at])
     last = np.cumsum([len(ws) + 1 for ws in split]) - 1
-    return _gather(ids, lengths, at), np.diff(np.concatenate(([0], ends[last])))
+    return _gather(ids, np.cumsum(lengths) - lengths, lengths, at), np.diff(np.concatenate(([0], ends[last])))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:

@@ -105,37 +105,59 @@ def labelled_sample(labels: DataFrame, id_col: str = "doc_id", quality_col: str
     return known.filter(F.pmod(F.xxhash64("labelled_id"), F.lit(1 << 20)) < share)
 
 
-def log_ratios(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """log p_target - log p_raw of each bucket. The driver gets BUCKETS rows."""
-    marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), F.col("id") == F.col("labelled_id"), "left").select("quality", "text")  # about LABELLED rows
-    found = marked.mapInArrow(_count, "bucket int, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
+class Model:
+    """Sightings of each bucket in the raw corpus and in the target.
+
+    A document is weighed by the models without its own sightings, so those of the target have no advantage. Both are
+    smoothed with PRIOR sightings of each bucket, dealt between them as all sightings are: a bucket that was seen little
+    says nothing for or against a text.
+    """
+
+    def __init__(self, raw: np.ndarray, good: np.ndarray):
+        self.raw, self.good = raw, good
+        self.part = good.sum() / max(1, raw.sum())
+
+    def weights(self, buckets: np.ndarray, n: np.ndarray, is_good: np.ndarray) -> np.ndarray:
+        """The log importance weights of texts of n n-grams each."""
+        if not self.part:
+            return np.zeros(len(n))
+        held, times = np.unique(np.repeat(np.arange(len(n)) * BUCKETS, n) + buckets, return_counts=True)
+        text, bucket = held // BUCKETS, held % BUCKETS
+        good = np.maximum(self.good[bucket] - times * is_good[text], 0)
+        raw = np.maximum(self.raw[bucket] - times, 0)
+        return np.bincount(text, times * np.log((good + PRIOR * self.part) / (raw + PRIOR) / self.part), len(n))
+
+
+def marked(docs: DataFrame, sample: DataFrame, id_col: str, name: str) -> DataFrame:
+    """docs with the label of the documents of the sample, which has about LABELLED rows."""
+    label = clear_name(docs, "labelled")
+    return docs.join(F.broadcast(sample.select(F.col("labelled_id").alias(label), F.col("quality").alias(name))), F.col(id_col) == F.col(label), "left").drop(label)
+
+
+def fit(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Counts over every document. The driver gets BUCKETS rows."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = marked(rows, sample, "id", "quality").select("quality", "text").mapInArrow(_count, "bucket int, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     raw[found.column(0).to_numpy()], good[found.column(0).to_numpy()] = found.column(1).to_numpy(), found.column(2).to_numpy()
-    if not good.sum():
-        return np.zeros(BUCKETS, np.float32)
-    # Both models are smoothed with PRIOR sightings of each bucket, dealt between them as all sightings are: a bucket
-    # that was seen little says nothing for or against a text.
-    part = good.sum() / raw.sum()
-    return np.log((good + PRIOR * part) / (raw + PRIOR) / part).astype(np.float32)
+    return Model(raw, good)
 
 
-def log_weight(spark, text: Column, ratios: np.ndarray) -> Column:
-    """The text's log importance weight; only the text goes to Python."""
-    shared = spark.sparkContext.broadcast(ratios)
+def log_weight(spark, text: Column, quality: Column, model: Model) -> Column:
+    """The text's log importance weight; only the text and its label, if it is of the target, go to Python."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(T.DoubleType())
-    def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def weigh(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         hashes = Hashes()
         for batch in batches:
             out = []
-            for _, texts in chunks(iter([pa.RecordBatch.from_arrays([batch], ["text"])]), "text"):
-                buckets, n = hashes.ngrams(texts)
-                sums = np.concatenate(([0.0], np.cumsum(shared.value[buckets], dtype=np.float64)))
-                ends = np.cumsum(n)
-                out.append(np.round(sums[ends] - sums[ends - n], 6))
+            for part, texts in chunks(iter([pa.RecordBatch.from_arrays(list(batch), ["text", "good"])]), "text"):
+                is_good = np.array(part.column(1).to_pylist(), bool)
+                out.append(np.round(shared.value.weights(*hashes.ngrams(texts), is_good), 6))
             yield pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())
 
-    return weigh(text)
+    return weigh(text, F.coalesce(quality == 1, F.lit(False)))
 
 
 def gumbel(*seeds: Column) -> Column:
@@ -182,28 +204,29 @@ def kth_key(keys: DataFrame, k: int) -> float:
     return low
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: float = NOISE, label_id: str = "doc_id", quality_col: str = "quality") -> tuple[DataFrame, float, np.ndarray]:
-    """(id, weight, key of every row; the key from which rows are kept; the model)."""
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: float = NOISE, label_id: str = "doc_id", quality_col: str = "quality") -> tuple[DataFrame, float, Model, DataFrame]:
+    """(id, weight, key of every row; the key from which rows are kept; the model; the labelled sample)."""
     sample = written(labelled_sample(labels, label_id, quality_col), "resample-labels")
-    ratios = log_ratios(docs, sample, id_col, text_col)
-    weighed = docs.select(F.col(id_col).alias("id"), log_weight(docs.sparkSession, F.col(text_col), ratios).alias("weight"))
+    model = fit(docs, sample, id_col, text_col)
+    rows = marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), sample, "id", "quality")
+    weighed = rows.select("id", log_weight(docs.sparkSession, F.col("text"), F.col("quality"), model).alias("weight"))
     scored = written(weighed.withColumn("key", F.col("weight") + noise * gumbel(F.col("id"), F.col("weight"))), "resample-scores")
     cut = boundary(scored, sample)
     if cut is None:
-        return scored, -np.inf, ratios
+        return scored, -np.inf, model, sample
     k = scored.filter(F.col("weight") >= cut).count()
-    return scored, kth_key(scored, k), ratios
+    return scored, kth_key(scored, k), model, sample
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: float = NOISE) -> DataFrame:
     """One row per row of docs: doc_id, log_weight, gumbel_key, kept."""
-    scored, cut, _ = score(docs, labels, id_col, text_col, noise)
+    scored, cut, _, _ = score(docs, labels, id_col, text_col, noise)
     return scored.select(F.col("id").alias("doc_id"), F.col("weight").alias("log_weight"), F.col("key").alias("gumbel_key"), (F.col("key") >= F.lit(float(cut))).alias("kept"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: float = NOISE) -> DataFrame:
     """The rows of docs that are kept, with all columns. Weights are computed again where the rows are; texts don't shuffle."""
-    _, cut, ratios = score(docs, labels, id_col, text_col, noise)
-    weight = clear_name(docs, "weight")
-    weighed = docs.withColumn(weight, log_weight(docs.sparkSession, F.col(text_col), ratios))
+    _, cut, model, sample = score(docs, labels, id_col, text_col, noise)
+    weight, quality = clear_name(docs, "weight"), clear_name(docs, "quality")
+    weighed = marked(docs, sample, id_col, quality).withColumn(weight, log_weight(docs.sparkSession, F.col(text_col), F.col(quality), model))
     return weighed.filter(F.col(weight) + noise * gumbel(F.col(id_col), F.col(weight)) >= F.lit(float(cut))).select(*docs.columns)
