@@ -63,6 +63,7 @@ LABELLED = tuple(
     (4, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0, 1), (1, 0.0, 45, 0.0, 60, 0.0, 0, 0, 0, 0, 1), (7, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 1, 1),
     (6, 0.0, 70, 0.0, 45, 0.0, 0, 0, 0, 1, 1), (50, 0.2, 3, 1.0, 40, 0.0, 0, 0, 0, 0, 1), (25, 0.1, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
     (12, 0.0, 30, 0.0, 2, 1.0, 0, 0, 0, 0, 1), (200, 0.1, 4, 0.0, 3, 0.9, 0, 0, 0, 0, 1), (10, 0.0, 7, 0.0, 12, 0.0, 0, 0, 0, 0, 1),
+    (2, 0.0, 30, 0.0, 40, 0.0, 0, 0, 0, 0, 1), (3, 0.0, 90, 0.0, 25, 0.0, 0, 0, 0, 0, 1), (2, 0.0, 8, 0.0, 70, 0.1, 0, 0, 0, 1, 1),
     (3, 1.0, 3, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 40, 0.0, 0, 0, 0, 0, 0), (2, 1.0, 60, 0.0, 2, 1.0, 0, 0, 0, 0, 0),
     (15, 0.8, 4, 1.0, 12, 0.7, 0, 0, 0, 0, 0), (25, 0.7, 9, 0.6, 20, 0.8, 0, 0, 0, 0, 0), (8, 0.6, 6, 0.5, 3, 1.0, 0, 0, 0, 0, 0),
     (2, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (3, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0, 1, 0), (5, 0.3, 2, 1.0, 0, 0.0, 0, 0, 0, 0, 0),

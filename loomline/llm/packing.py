@@ -201,7 +201,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Run], i
     def times(lengths: list[int]) -> int:
         return min(int(left[x]) // lengths.count(x) for x in lengths)
 
-    open_([capacity], int(left[capacity]))
+    if left[capacity]:
+        open_([capacity], int(left[capacity]))
     for long in range(capacity - 1, 0, -1):
         if left[long] and (gap := capacity - long) <= long and (n := times([long, gap])):
             open_([long, gap], n)
