@@ -42,7 +42,7 @@ SWEEPS = 12
 #: Strength of the smoothing of transitions, in sightings.
 SMOOTHING = 20.0
 #: Distinct words that a task counts before it passes their counts on.
-COUNT_WORDS = 400_000
+COUNT_WORDS = 200_000
 #: The end token; no word is empty.
 END = b""
 
@@ -84,7 +84,7 @@ def _count_bigrams(head: dict[bytes, int], size: int):
         end, shift = size - TAILS - 1, size - TAILS - CLASSES - 1
         seen: dict[bytes, int] = dict(head)
         for _, texts in chunks(batches, "text"):
-            if len(seen) > 500_000:
+            if len(seen) > COUNT_WORDS:
                 seen = dict(head)
             flat = [end]
             for t in texts:

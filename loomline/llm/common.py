@@ -9,12 +9,13 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of text that one worker handles at a time.
 CHUNK_ROWS = 2000
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 #: ASCII white space, as bytes.split() and the contracts' [\x20\x09-\x0D] have it.
 ASCII_SPACE = r"[\x20\x09-\x0D]"
@@ -76,17 +77,17 @@ def n_words(text: Column) -> Column:
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_rows: int = CHUNK_ROWS, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches, each with the column's values as bytes (null: empty); a longer single value makes a slice of its own."""
     for batch in batches:
-        values = batch.column(batch.schema.get_field_index(column))
-        kind = pa.large_binary() if pa.types.is_large_string(values.type) else pa.binary()
-        texts = [x or b"" for x in values.cast(kind).to_pylist()]
+        at = batch.schema.get_field_index(column)
+        lengths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
         begin, held = 0, 0
-        for i, t in enumerate(texts):
-            if i > begin and (held + len(t) > max_bytes or i - begin >= max_rows):
-                yield batch.slice(begin, i - begin), texts[begin:i]
+        for i, n in enumerate([*lengths, max_bytes + 1]):
+            if i > begin and (held + n > max_bytes or i - begin >= max_rows):
+                part = batch.slice(begin, i - begin)
+                values = part.column(at)
+                kind = pa.large_binary() if pa.types.is_large_string(values.type) else pa.binary()
+                yield part, [x or b"" for x in values.cast(kind).to_pylist()]
                 begin, held = i, 0
-            held += len(t)
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+            held += n
 
 
 class Numbering(dict):
