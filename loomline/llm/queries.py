@@ -23,7 +23,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).drop("straight")
 
 
 def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +66,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others rest on XXH64, trained models or a tokenizer, which SQL lacks; tests hold them against brute force."""
+    return {
+        "op2_exact_dedup": """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+            FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+        "op4_quality_rules": r"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x{20}\x{09}-\x{0D}]+') AS w FROM documents),
+            g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+            r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g),
+            h AS (SELECT doc_id, count(DISTINCT p) AS held FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM r WHERE n > 1) GROUP BY doc_id),
+            l AS (SELECT doc_id, t, w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x{20}\x{09}-\x{0D}]')) AS lines FROM w),
+            f AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+                len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(h.held, 0) AS n_repeat_words, len(regexp_extract_all(t, '[A-Z]')) AS u, len(regexp_extract_all(t, '[a-z]')) AS s FROM l LEFT JOIN h USING (doc_id)),
+            b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+            SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+                NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR (u > 2 * s AND u > 50)) AS kept FROM b""",
+    }

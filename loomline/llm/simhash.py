@@ -237,7 +237,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     linked = nodes.join(roots, nodes.fp == roots.node).select("fp", "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
     told = linked.join(least, "root").select(F.col("fp").alias("fp2"), "component")
-    known = nodes.join(told, nodes.fp == told.fp2, "left").select(F.col("fp").alias("fp3"), F.coalesce("component", "least").alias("component_id"))
+    # Written, so that both sides of the join are plain exchanges, which adaptive execution can split at a hot fingerprint.
+    known = written(nodes.join(told, nodes.fp == told.fp2, "left").select(F.col("fp").alias("fp3"), F.coalesce("component", "least").alias("component_id")), "simhash-known")
     return fps.join(known, fps.fp == known.fp3).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
