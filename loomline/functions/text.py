@@ -16,7 +16,8 @@ WS, NOT_WS = f"[{PY_SPACE}]", f"[^{PY_SPACE}]"
 #: Characters without width that normalising deletes; the joiners only on demand.
 INVISIBLE, JOINERS = chr(0x200B) + chr(0xFEFF) + chr(0xAD), chr(0x200C) + chr(0x200D)
 WORD = r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*+"
-SYMBOL = r"(?U)[^\p{L}\p{N}\p{M}\s]"
+#: Unicode white space, which is Python's without U+001C to U+001F.
+UNICODE_SPACE = r"[\t-\r\x20" + PY_SPACE[PY_SPACE.index("x85") - 1 :] + "]"
 ANCHOR = rf"\p{{Nd}}+|https?://{NOT_WS}+|[A-Z][a-zA-Z]{{2,}}"
 
 
@@ -90,12 +91,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def _left_out(text: Column, pattern: str, ascii_pattern: str) -> Column:
-    """How many characters match a one-character class: by what is left without them, with no array of matches."""
-    rest = lambda p: F.regexp_replace(text, f"{p}++", "")
-    return F.length(text) - F.length(F.when(is_ascii(text), rest(ascii_pattern)).otherwise(rest(pattern)))
-
-
 def word_count(text: Column) -> Column:
     """Each word becomes one x, and no x is left of anything else."""
     marked = F.when(is_ascii(text), F.regexp_replace(text, "[0-9A-Za-z]++", "x")).otherwise(F.regexp_replace(text, WORD, "x"))
@@ -103,11 +98,14 @@ def word_count(text: Column) -> Column:
 
 
 def symbol_count(text: Column) -> Column:
-    return _left_out(text, SYMBOL, r"[^0-9A-Za-z\t-\r ]")
+    """Characters that are no letter, number, mark or white space: what is left without those."""
+    wide = F.regexp_replace(F.regexp_replace(text, r"[\p{L}\p{N}\p{M}]++", ""), f"{UNICODE_SPACE}++", "")
+    return F.length(F.when(is_ascii(text), F.regexp_replace(text, r"[0-9A-Za-z\t-\r ]++", "")).otherwise(wide))
 
 
 def digit_count(text: Column) -> Column:
-    return _left_out(text, r"\p{Nd}", "[0-9]")
+    """What is lost without digits, counted with no array of matches."""
+    return F.length(text) - F.length(F.when(is_ascii(text), F.regexp_replace(text, "[0-9]++", "")).otherwise(F.regexp_replace(text, r"\p{Nd}++", "")))
 
 
 def ratio(part: Column, whole: Column) -> Column:
