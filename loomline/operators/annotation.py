@@ -41,7 +41,7 @@ def fleiss_kappa(labels: DataFrame) -> DataFrame:
     """One row: fleiss_kappa of item_id, label rows. Fails unless all items have the same number, 2 at least, of raters."""
     counts = labels.groupBy("item_id", "label").agg(F.count("*").alias("c"))
     items = counts.groupBy("item_id").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("squares"))
-    p = items.agg(F.count("*").alias("n"), F.min("m").alias("least"), F.max("m").alias("m"), F.avg((F.col("squares") - F.col("m")) / (F.col("m") * (F.col("m") - 1))).alias("p_bar"))
+    p = items.agg(F.count("*").alias("n"), F.min("m").alias("least"), F.max("m").alias("m"), F.avg(F.try_divide(F.col("squares") - F.col("m"), F.col("m") * (F.col("m") - 1))).alias("p_bar"))
     totals = counts.groupBy("label").agg(F.sum("c").alias("t")).agg(F.sum("t").alias("all"), F.sum(F.col("t") * F.col("t")).alias("squares"))
     row = p.withColumn("_", F.lit(1)).join(totals.withColumn("_", F.lit(1)), "_")
     pe = F.col("squares") / (F.col("all") * F.col("all"))

@@ -23,7 +23,7 @@ class SpeechConfig:
 
 def drop_reason(transcript, duration, config: SpeechConfig = SpeechConfig()):
     """The first rule that fails; null if none does. An unknown duration passes its rules."""
-    pace = F.length(transcript) / F.greatest(duration, F.lit(0.01))
+    pace = F.when(duration.isNotNull(), F.length(transcript) / F.greatest(duration, F.lit(0.01)))
     rule = F.when(F.lit(config.require_transcript) & (F.length(X.strip(transcript)) == 0), F.lit("empty_transcript")).when(X.word_count(transcript) < config.min_words, F.lit("too_few_words"))
     return (
         rule.when(duration < config.min_duration, F.concat(F.lit("too_short("), duration.cast("string"), F.lit("s)")))
