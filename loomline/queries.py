@@ -414,7 +414,7 @@ def minhash_signatures(spark, sf_dir):
 
 
 _AUDIO = f"""a AS (SELECT conv_id * 100 + turn AS ord, {_normal("text")} AS t, CASE WHEN turn > 0 THEN round(length(text) / 15.0, 1)::DOUBLE END AS d, CASE conv_id % 3 WHEN 0 THEN 'hi' WHEN 1 THEN 'ta' END AS language, role AS speaker_id FROM conversations),
-    e AS (SELECT *, CASE WHEN length({_strip("t")}) = 0 THEN 'empty_transcript' WHEN {_n("t", _W)} < 1 THEN 'too_few_words' WHEN d < 0.5 THEN 'too_short' WHEN d > 30 THEN 'too_long' WHEN length(t) / greatest(d, 0.01) > 25 THEN 'chars_per_sec_high' END AS rule FROM a),
+    e AS (SELECT *, CASE WHEN length({_strip("t")}) = 0 THEN 'empty_transcript' WHEN {_n("t", _W)} < 1 THEN 'too_few_words' WHEN d < 0.5 THEN 'too_short' WHEN d > 30 THEN 'too_long' WHEN d IS NOT NULL AND length(t) / greatest(d, 0.01) > 25 THEN 'chars_per_sec_high' END AS rule FROM a),
     z AS (SELECT *, CASE WHEN rule IS NOT NULL THEN rule WHEN row_number() OVER (PARTITION BY rule IS NULL, lower(t) ORDER BY ord) > 1 THEN 'duplicate_transcript' END AS reason FROM e)"""
 
 
