@@ -69,6 +69,18 @@ def _dup_lines(t: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def _line_chars(t: bytes) -> int:
+    return sum(len(x.decode("utf-8", "replace")) for x in _lines(t))
+
+
+def _dup_line_chars(t: bytes) -> int:
+    """Code points of lines that an earlier line equals."""
+    lines = _lines(t)
+    if len(lines) == len(set(lines)):
+        return 0
+    return sum(len(x.decode("utf-8", "replace")) for x in lines) - sum(len(x.decode("utf-8", "replace")) for x in set(lines))
+
+
 def repeated_words(w: np.ndarray, width: int = 3) -> int:
     """How many of the word numbers w lie in windows of the width that occur at least twice."""
     n = len(w) - width + 1
@@ -104,8 +116,9 @@ FEATURES: dict[str, Callable[[Texts, np.ndarray], list[int]]] = {
     "n_words": lambda x, rows: [len(x.words(i)) for i in rows.tolist()],
     "word_chars": _each(lambda t: len(t.decode("utf-8", "replace")) - _without(t, _SPACE)),
     "n_symbols": _each(lambda t: _without(t, SYMBOLS)),
-    "n_lines": _each(lambda t: len(_lines(t))),
     "n_dup_lines": _each(_dup_lines),
+    "line_chars": _each(_line_chars),
+    "dup_line_chars": _each(_dup_line_chars),
     "n_repeat_words": _repeat_words,
     "n_upper": _each(lambda t: _without(t, _UPPER)),
     "n_lower": _each(lambda t: _without(t, _LOWER)),
@@ -127,7 +140,7 @@ RULES = (
     Rule("few_words", ("n_words",), lambda n: n < 50, base=True),
     Rule("repeated_words", ("n_words", "n_repeat_words"), lambda n, r: 100 * r > 50 * n, base=True),
     Rule("symbols", ("n_words", "n_symbols"), lambda n, s: 10 * s > 3 * n),
-    Rule("repeated_lines", ("n_lines", "n_dup_lines"), lambda n, d: 10 * d > 3 * n),
+    Rule("repeated_lines", ("line_chars", "dup_line_chars"), lambda n, d: 10 * d > 3 * n),
     Rule("word_length", ("n_words", "word_chars"), lambda n, c: (c < 2 * n) | (c > 20 * n)),
     Rule("shouting", ("n_upper", "n_lower"), lambda u, w: (u > 2 * w) & (u > 50)),
 )

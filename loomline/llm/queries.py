@@ -75,9 +75,9 @@ def oracle_sql() -> dict[str, str]:
             r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g),
             h AS (SELECT doc_id, count(DISTINCT p) AS held FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM r WHERE n > 1) GROUP BY doc_id),
             l AS (SELECT doc_id, t, w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x{20}\x{09}-\x{0D}]')) AS lines FROM w),
-            f AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+            f AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(list_sum(list_transform(lines, lambda x: length(x))), 0) AS line_chars, coalesce(list_sum(list_transform(lines, lambda x: length(x))), 0) - coalesce(list_sum(list_transform(list_distinct(lines), lambda x: length(x))), 0) AS dup_line_chars,
                 len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(h.held, 0) AS n_repeat_words, len(regexp_extract_all(t, '[A-Z]')) AS u, len(regexp_extract_all(t, '[a-z]')) AS s FROM l LEFT JOIN h USING (doc_id)),
             b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
             SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-                NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR (u > 2 * s AND u > 50)) AS kept FROM b""",
+                NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 10 * dup_line_chars > 3 * line_chars OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR (u > 2 * s AND u > 50)) AS kept FROM b""",
     }
