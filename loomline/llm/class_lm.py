@@ -10,7 +10,7 @@ Transitions are smoothed with the classes' own frequencies; a tail class keeps o
 for all unseen ones.
 
 Counts are of all training tokens. Word counts are combined in each task, then by word; bigrams are counted between
-head words and tail classes, a table of fixed size. The ``KNOWN`` most frequent words travel to the executors; rarer
+head words and tail classes, a table of fixed size. At most the ``KNOWN`` most frequent words travel to the executors; rarer
 words of a chunk of documents become one posting row per word and chunk, meet their counts in one join by word, and are
 summed per chunk, so a row is a word's whole chunk and a frequent word never shuffles. Partial results are written once
 to the shared folder, so that a lost executor can't mix two runs' chunks.
@@ -167,12 +167,31 @@ class Model:
         self.transition, self.unseen, self.tokens, self.words = transition, unseen, tokens, words
 
 
+def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent words, `most` at most, the first first. Words of about equal counts are all in or all out.
+
+    The bound comes from a histogram of the counts' logarithms; a sort with a limit would send the driver `most` rows
+    of every partition.
+    """
+    scale = F.floor(F.log2("n") * 64)
+    left, least = most, None
+    for r in counts.groupBy(scale.alias("scale")).agg(F.count("*").alias("words")).orderBy(F.desc("scale")).collect():
+        left -= r["words"]
+        if left < 0:
+            break
+        least = r["scale"]
+    if least is None:
+        return []
+    rows = counts.filter(scale >= least).select("word", "n").toArrow()
+    return sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+
+
 def fit(docs: DataFrame, train_if: Column, text_col: str = "text", head: int = HEAD, known: int = KNOWN) -> tuple[Model, DataFrame]:
     """(model, counts of all words) of the rows that train_if selects. The driver gets tables of fixed size."""
     texts = docs.filter(train_if).select(F.col(text_col).alias("text"))
     counts = word_counts(texts)
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = [(bytes(r["word"]), r["n"]) for r in counts.filter(F.length("word") > 0).orderBy(F.desc("n"), "word").limit(known).collect()]
+    top = frequent(counts.filter(F.length("word") > 0), known)
     first = {w: i for i, (w, _) in enumerate(top[:head])}
     size = len(first) + 1 + TAILS
     found = texts.mapInArrow(_count_bigrams(first, size), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
