@@ -223,8 +223,10 @@ def test_token_ids_are_the_tokenizers(t):
     assert packing.token_ids([t.encode()], words)[0].tolist() == [*words.encoder.encode(t, add_special_tokens=False).ids, 0]
 
 
-def test_class_lm(docs, empty):
-    scored = class_lm.score(docs, *class_lm.fit(docs, F.coalesce(F.col("doc_id"), F.lit(0)) % 5 != 0)).collect()
+@pytest.mark.parametrize("known", [class_lm.KNOWN, 12, 0])
+def test_class_lm(docs, empty, known):
+    """With all words at hand, with most of them met by the join, and with none."""
+    scored = class_lm.score(docs, *class_lm.fit(docs, F.coalesce(F.col("doc_id"), F.lit(0)) % 5 != 0, head=min(known, 1000), known=known)).collect()
     tokens = [[*_split(_plain(t)), ""] for _, t, *_ in ROWS]
     seen = Counter(w for (i, *_), ws in zip(ROWS, tokens, strict=True) if (i or 0) % 5 for w in ws)
     n, v = sum(seen.values()), len(seen)
@@ -236,6 +238,12 @@ def test_class_lm(docs, empty):
     assert all(r["train_tokens"] == r["n_known"] == 0 and r["base_score"] == 0 for r in none)
 
 
+def test_class_lm_scores_do_not_depend_on_what_is_at_hand(docs):
+    """The same head, and more or fewer of the other words known: the same scores."""
+    some = [sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 6)) for r in class_lm.score(docs, *class_lm.fit(docs, F.lit(True), head=8, known=k)).collect()) for k in (40, class_lm.KNOWN)]
+    assert some[0] == some[1]
+
+
 def test_class_lm_is_a_distribution(docs):
     model, counts = class_lm.fit(docs, F.lit(True))
     assert np.allclose((10**model.transition).sum(1), 1)
