@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomline.storage import written as written
+
 #: Rows and bytes of text that one worker handles at a time.
 CHUNK_ROWS = 2000
 CHUNK_BYTES = 4 << 20
@@ -22,37 +20,6 @@ ASCII_SPACE = r"[\x20\x09-\x0D]"
 ASCII_WORD = r"[^\x20\x09-\x0D]"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = os.environ.get("LOOMLINE_LOCAL_SHARED") or tempfile.mkdtemp(prefix="loomline-")
-        os.environ["LOOMLINE_LOCAL_SHARED"] = found
-        found = f"file://{found}"
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written once as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/loomline/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is None or spark.sparkContext._jsc is None:
-        if path.startswith("file://"):
-            import shutil
-
-            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
-        return
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def clear_name(df: DataFrame, stem: str) -> str:
     """A column name that df doesn't have, whatever its case."""
     taken = {c.lower() for c in df.columns}

@@ -42,11 +42,14 @@ FURNITURE = frozenset("head nav header footer aside form button select option fi
 MAIN = frozenset("article main".split())
 #: Words in class, id or role that name page furniture, and those that name the article.
 FURNITURE_NAMES = frozenset(
-    """ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo promotion banner sidebar sidebars aside
+    """ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo promotion banner side sidebar sidebars aside
     nav navbar navigation menu breadcrumb breadcrumbs header masthead footer comment comments reply replies respond disqus cookie cookies
     consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup social share sharing
-    related recommended widget toolbar login search form pagination pager copyright legal skip contentinfo complementary""".split()
+    related recommended widget toolbar login search form pagination pager copyright legal skip contentinfo complementary dialog menubar
+    disclaimer paywall""".split()
 )
+#: Names that begin like this count as well (commentlist, sidebarleft), but for commentaries.
+FURNITURE_STEMS = ("comment", "advert", "sidebar", "cookie", "newsletter", "breadcrumb", "adsby")
 MAIN_NAMES = frozenset("article main".split())
 
 #: The labelled table: words, link density, words and link density of the block before and of the one after, in the
@@ -83,7 +86,9 @@ class Block:
 
 
 def _names(attributes: str) -> set[str]:
-    return {p.lower() for m in _NAMES.finditer(attributes) for p in _PARTS.findall(m[1])}
+    """The words of class, id and role; a name that begins with a stem of page furniture counts as that."""
+    found = {p.lower() for m in _NAMES.finditer(attributes) for p in _PARTS.findall(m[1])}
+    return found | {"aside" for n in found if n.startswith(FURNITURE_STEMS) and not n.startswith("commentar")}
 
 
 def blocks(page: str) -> tuple[list[Block], bool]:

@@ -366,6 +366,24 @@ def test_html(spark):
     assert html_extract.extract(df.limit(0), keep=["page_id"]).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("inside", "kept"),
+    [
+        ('<ol class="commentlist"><li>Nice</ol>', False), ('<div class="commentary">Our view</div>', True), ('<section id="user-comments">x</section>', False), ('<div role="alert">x</div>', False),
+        ('<div class="SideBar"><p>x</div>', False), ("<table><tr><td>cell", True), ('<p style="display:none">x', False), ("<blockquote>quoted</blockquote>", True), ("<textarea>x</textarea>", False),
+        ("<button>Go</button>", False), ('<p title="a>b">told</p>', True), ("<!-- x --><p>1 < 2</p>", True), ("<p>AT&T &amp; &#x41;&bogus;", True),
+    ],
+)
+def test_html_parts(inside, kept):
+    text = html_extract.main_text(f"<html><body><article><p>Before it.</p>{inside}</article></body></html>", html_extract.trained())
+    assert text.startswith("Before it.") and (text != "Before it.") == kept
+
+
+def test_html_decodes(spark):
+    text = html_extract.main_text("<article><p>AT&T &amp; &#x41;&bogus; 1 < 2</p></article>", html_extract.trained())
+    assert text == "AT&T & A&bogus; 1 < 2"
+
+
 def test_tree_fits_its_table():
     rows = np.array(html_extract.LABELLED, float)
     assert (html_extract.trained().predict(rows[:, :-1]) == rows[:, -1]).mean() > 0.97
