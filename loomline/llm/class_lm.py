@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, written
+from loomline.llm.common import chunks, in_arrow, written
 
 HEAD = 1_000
 CLASSES = 50
@@ -73,7 +73,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """word, n of all tokens of column text."""
-    return written(texts.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+    return written(texts.transform(in_arrow, _count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
 def _count_bigrams(head: dict[bytes, int], size: int):
@@ -194,7 +194,7 @@ def fit(docs: DataFrame, train_if: Column, text_col: str = "text", head: int = H
     top = frequent(counts.filter(F.length("word") > 0), known)
     first = {w: i for i, (w, _) in enumerate(top[:head])}
     size = len(first) + 1 + TAILS
-    found = texts.mapInArrow(_count_bigrams(first, size), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    found = texts.transform(in_arrow, _count_bigrams(first, size), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     bigrams = np.zeros(size * size)
     bigrams[found.column(0).to_numpy()] = found.column(1).to_numpy()
     bigrams = bigrams.reshape(size, size)
@@ -214,7 +214,7 @@ def fit(docs: DataFrame, train_if: Column, text_col: str = "text", head: int = H
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(k), pa.int32()), pa.array(n)], ["class", "n"])
 
     distinct = np.zeros(k)
-    for r in counts.select("word").mapInArrow(sizes, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
+    for r in counts.select("word").transform(in_arrow, sizes, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
         distinct[r["class"]] = r["n"]
     unseen = -np.log10(in_class + distinct + 1)
     numbers = {END: 0} | {w: i + 1 for i, (w, _) in enumerate(top)}
@@ -319,13 +319,13 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     kind = docs.schema[id_col].dataType
     shared = docs.sparkSession.sparkContext.broadcast(model)  # KNOWN words at most
     schema = T._parse_datatype_string(_PARTS.format(kind=kind.simpleString()))
-    parts = written(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_partial(shared, schema.names), schema), "lm-parts")
+    parts = written(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).transform(in_arrow, _partial(shared, schema.names), schema), "lm-parts")
     rare = parts.filter(F.col("word").isNotNull()).select("chunk", "word", "docs", "times")
     met = rare.join(counts.withColumnRenamed("n", "count"), "word", "left").select("chunk", "docs", "times", F.coalesce("count", F.lit(0)).alias("count"))
     own = parts.filter(F.col("word").isNull()).select("doc_id", "chunk", "doc", "n_tokens", "n_known", "base", "score")
     both = own.unionByName(met, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk")
     names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
     out = T.StructType([T.StructField("doc_id", kind), *[T.StructField(c, T.LongType()) for c in names[1:3]], *[T.StructField(c, T.DoubleType()) for c in names[3:]]])
-    return both.mapInArrow(_sum_up(names), out).select(
+    return both.transform(in_arrow, _sum_up(names), out).select(
         "doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")
     )

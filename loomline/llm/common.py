@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.storage import written as written
@@ -41,6 +41,19 @@ def n_words(text: Column) -> Column:
     ).otherwise(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches hold 1000 rows where the session still has Spark's own bound: buffers of long texts stay small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
+def in_arrow(df: DataFrame, work, schema) -> DataFrame:
+    """mapInArrow over small batches."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_rows: int = CHUNK_ROWS, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches, each with the column's values as bytes (null: empty); a longer single value makes a slice of its own."""
     for batch in batches:

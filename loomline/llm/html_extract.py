@@ -24,7 +24,7 @@ import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks
+from loomline.llm.common import chunks, in_arrow
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^>]*+(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -235,4 +235,4 @@ def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = N
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(told, pa.string()), pa.array([len(t) for t in told], pa.int64())], [f.name for f in out])
 
     out = T.StructType([*[pages.schema[c] for c in keep], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return pages.select(*keep, F.col(html_col).alias("_html")).mapInArrow(work, out)
+    return pages.select(*keep, F.col(html_col).alias("_html")).transform(in_arrow, work, out)

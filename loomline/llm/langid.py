@@ -26,7 +26,7 @@ import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks
+from loomline.llm.common import chunks, in_arrow
 
 PER_LANG = 5_000
 SWITCH_PENALTY = 14.0
@@ -150,7 +150,7 @@ def train(docs: DataFrame, train_if: Column, text_col: str = "text", lang_col: s
         return None
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(int(min(1.0, per_lang / sizes[k]) * (1 << 20))))])
     chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")])
-    found = chosen.select("text", "lang").mapInArrow(_train(langs), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = chosen.select("text", "lang").transform(in_arrow, _train(langs), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     lang, bucket, n = (found.column(i).to_numpy() for i in range(3))
     counts, used = np.zeros((len(langs), BUCKETS), np.int64), np.zeros((len(langs), len(SCRIPTS)), np.int64)
     gram = bucket >= 0
@@ -297,4 +297,4 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
             arrays = [pa.array([x[0] for x in told]), pa.array([x[1] for x in told], pa.float64()), pa.array([x[2] for x in told], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *arrays], [*keep, *found.names])
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(work, out)
+    return docs.select(*keep, F.col(text_col).alias("_text")).transform(in_arrow, work, out)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import Numbering, chunks, written
+from loomline.llm.common import Numbering, chunks, in_arrow, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -171,7 +171,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             task += 1
 
     out = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "chunk", "rank")]])
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(work, out)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).transform(in_arrow, work, out)
 
 
 Run = tuple[int, int, int, int]  # length, first rank, first sequence, offset
@@ -276,4 +276,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(run[:, 2] + rank - run[:, 1]), pa.array(run[:, 3])], [f.name for f in out])
 
     out = T.StructType([*ranked.schema.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInArrow(work, out)
+    return ranked.transform(in_arrow, work, out)

@@ -21,7 +21,7 @@ import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks
+from loomline.llm.common import chunks, in_arrow
 
 #: Texts of the sample that costs and rejections are measured on, and the most bytes one may have.
 SAMPLE_ROWS = 500
@@ -191,7 +191,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", keep
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *map(pa.array, told), pa.array(base_failed), pa.array(kept)], [f.name for f in out])
 
     out = T.StructType([*[docs.schema[c] for c in keep], *[T.StructField(f, T.LongType()) for f in report], T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())])
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(work, out)
+    return docs.select(*keep, F.col(text_col).alias("_text")).transform(in_arrow, work, out)
 
 
 def cascade(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, rules: tuple[Rule, ...] = RULES, report: tuple[str, ...] = ()) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, clear_name, written
+from loomline.llm.common import Numbering, chunks, clear_name, in_arrow, small_batches, written
 
 BUCKETS = 1 << 16
 LABELLED = 20_000
@@ -48,52 +48,40 @@ class Hashes:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.hashes, self.lengths = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        self.at = Numbering()
+        self.hashes, self.lengths = np.empty(0, np.uint64), np.empty(0, np.int64)
 
     def ngrams(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(buckets of the n-grams of all texts, how many each text has): a text's tokens, then its pairs."""
+        """(text number, bucket) of each n-gram of all texts: all tokens, then all pairs of neighbours."""
         if len(self.at) > CACHE_WORDS:
             self.clear()
         split = [t.decode("utf-8", "replace").lower().split() for t in texts]
         flat = [w for ws in split for w in ws]
-        new = [w for w in dict.fromkeys(flat) if w not in self.at]
-        if new:
+        word = np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))
+        if new := self.at.take():
             found = [_TOKEN.findall(w) for w in new]
             digest = xxhash.xxh64_intdigest
-            self.hashes.append(np.array([digest(x) for xs in found for x in xs], np.uint64))
-            self.lengths.append(np.array([len(xs) for xs in found], np.int64))
-            self.at |= {w: len(self.at) + i for i, w in enumerate(new)}
-        self.hashes, self.lengths = [np.concatenate(self.hashes)], [np.concatenate(self.lengths)]
-        at = self.at
-        word = np.fromiter((at[w] for w in flat), np.int64, len(flat))
-        lengths = self.lengths[0]
-        n = lengths[word]
+            self.hashes = np.concatenate((self.hashes, np.array([digest(x) for xs in found for x in xs], np.uint64)))
+            self.lengths = np.concatenate((self.lengths, np.array([len(xs) for xs in found], np.int64)))
+        n = self.lengths[word]
         ends = np.cumsum(n)
-        tokens = self.hashes[0][np.repeat((np.cumsum(lengths) - lengths)[word] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        tokens = self.hashes[np.repeat((np.cumsum(self.lengths) - self.lengths)[word] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
         words = np.cumsum([len(ws) for ws in split])
-        last = np.concatenate(([0], ends))[words]  # tokens up to and with each text
-        first = np.concatenate(([0], last[:-1]))
-        count = last - first
-        pairs = np.maximum(count - 1, 0)
-        # Pairs that start at a text's last token don't exist.
-        starts = np.ones(len(tokens), bool)
-        starts[(last - 1)[count > 0]] = False
-        a = np.flatnonzero(starts)
-        mixed = (tokens[a] ^ (tokens[a] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + tokens[a + 1] if len(a) else np.empty(0, np.uint64)
-        text_of = np.repeat(np.arange(len(texts)), count)
-        buckets = np.concatenate((tokens, mixed ^ (mixed >> np.uint64(31)))) % np.uint64(BUCKETS)
-        order = np.argsort(np.concatenate((text_of, text_of[a])), kind="stable")
-        return buckets[order].astype(np.int64), count + pairs
+        count = np.diff(np.concatenate(([0], ends))[np.concatenate(([0], words))])  # tokens of each text
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), count)
+        first = np.flatnonzero(text[1:] == text[:-1])  # tokens whose neighbour is of the same text
+        mixed = (tokens[first] ^ (tokens[first] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + tokens[first + 1]
+        buckets = np.concatenate((tokens % np.uint64(BUCKETS), (mixed ^ (mixed >> np.uint64(31))) % np.uint64(BUCKETS))).astype(np.int32)
+        return np.concatenate((text, text[first])), buckets
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, raw, good = Hashes(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for part, texts in chunks(batches, "text"):
-        buckets, n = hashes.ngrams(texts)
+        text, buckets = hashes.ngrams(texts)
         raw += np.bincount(buckets, minlength=BUCKETS)
         is_good = np.array([x == 1 for x in part.column(0).to_pylist()], bool)
-        good += np.bincount(buckets[np.repeat(is_good, n)], minlength=BUCKETS)
+        good += np.bincount(buckets[is_good[text]], minlength=BUCKETS)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS), pa.int32()), pa.array(raw), pa.array(good)], ["bucket", "raw", "good"])
 
 
@@ -117,15 +105,15 @@ class Model:
         self.raw, self.good = raw, good
         self.part = good.sum() / max(1, raw.sum())
 
-    def weights(self, buckets: np.ndarray, n: np.ndarray, is_good: np.ndarray) -> np.ndarray:
-        """The log importance weights of texts of n n-grams each."""
+    def weights(self, text: np.ndarray, buckets: np.ndarray, is_good: np.ndarray) -> np.ndarray:
+        """The log importance weights of the texts whose n-grams these are."""
         if not self.part:
-            return np.zeros(len(n))
-        held, times = np.unique(np.repeat(np.arange(len(n)) * BUCKETS, n) + buckets, return_counts=True)
+            return np.zeros(len(is_good))
+        held, times = np.unique(text.astype(np.int64) * BUCKETS + buckets, return_counts=True)
         text, bucket = held // BUCKETS, held % BUCKETS
         good = np.maximum(self.good[bucket] - times * is_good[text], 0)
         raw = np.maximum(self.raw[bucket] - times, 0)
-        return np.bincount(text, times * np.log((good + PRIOR * self.part) / (raw + PRIOR) / self.part), len(n))
+        return np.bincount(text, times * np.log((good + PRIOR * self.part) / (raw + PRIOR) / self.part), len(is_good))
 
 
 def marked(docs: DataFrame, sample: DataFrame, id_col: str, name: str) -> DataFrame:
@@ -137,7 +125,7 @@ def marked(docs: DataFrame, sample: DataFrame, id_col: str, name: str) -> DataFr
 def fit(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Counts over every document. The driver gets BUCKETS rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = marked(rows, sample, "id", "quality").select("quality", "text").mapInArrow(_count, "bucket int, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
+    found = marked(rows, sample, "id", "quality").select("quality", "text").transform(in_arrow, _count, "bucket int, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     raw[found.column(0).to_numpy()], good[found.column(0).to_numpy()] = found.column(1).to_numpy(), found.column(2).to_numpy()
     return Model(raw, good)
@@ -146,6 +134,7 @@ def fit(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: st
 def log_weight(spark, text: Column, quality: Column, model: Model) -> Column:
     """The text's log importance weight; only the text and its label, if it is of the target, go to Python."""
     shared = spark.sparkContext.broadcast(model)
+    small_batches(spark)
 
     @F.arrow_udf(T.DoubleType())
     def weigh(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, clear_name, written
+from loomline.llm.common import chunks, clear_name, in_arrow, written
 
 WIDTH = 4
 RADIUS = 4
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([fingerprint(t, width) for t in texts], pa.int64())], ["doc_id", "fp"])
 
     kind = docs.schema[id_col].dataType
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(work, T.StructType([T.StructField("doc_id", kind), T.StructField("fp", T.LongType())]))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).transform(in_arrow, work, T.StructType([T.StructField("doc_id", kind), T.StructField("fp", T.LongType())]))
 
 
 def block_masks(radius: int, agree: int) -> list[int]:
@@ -201,7 +201,7 @@ def links(nodes: DataFrame, count: int, radius: int = RADIUS) -> DataFrame:
         split = shards.join(hot, "shard").select(F.explode(F.array(F.xxhash64("shard", F.lit(k), shell), F.xxhash64("shard", F.lit(k), shell + 1))).alias("shard"), "fp")
         shards = written(shards.join(hot, "shard", "left_anti").unionByName(split), "simhash-shards")
     dealt = shards.repartition("shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(_local_edges(radius), "a long, b long")
+    return dealt.transform(in_arrow, _local_edges(radius), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
