@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,6 +29,12 @@ def clear_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def without_outputs(columns: list[str], outputs: Iterable[str]) -> list[str]:
+    """The columns whose names, whatever their case, no output has: an operator's outputs replace such input columns."""
+    taken = {c.lower() for c in outputs}
+    return [c for c in columns if c.lower() not in taken]
+
+
 def crc_mod(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % n

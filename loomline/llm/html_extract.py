@@ -24,7 +24,7 @@ import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, in_arrow
+from loomline.llm.common import chunks, clear_name, in_arrow, without_outputs
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^>]*+(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -225,14 +225,15 @@ def main_text(page: str, tree: Tree) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None, table=LABELLED) -> DataFrame:
-    """The columns in keep (default: all but the html) with text and n_chars."""
-    keep = [c for c in pages.columns if c != html_col] if keep is None else keep
+    """The columns in keep (default: all but the html) with text and n_chars, which replace columns of these names."""
+    keep = without_outputs([c for c in pages.columns if c != html_col] if keep is None else keep, ("text", "n_chars"))
+    held = clear_name(pages, "html")
     tree = trained(table)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches, "_html"):
+        for part, texts in chunks(batches, held):
             told = [main_text(t.decode("utf-8", "replace"), tree) for t in texts]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(told, pa.string()), pa.array([len(t) for t in told], pa.int64())], [f.name for f in out])
 
     out = T.StructType([*[pages.schema[c] for c in keep], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return pages.select(*keep, F.col(html_col).alias("_html")).transform(in_arrow, work, out)
+    return pages.select(*keep, F.col(html_col).alias(held)).transform(in_arrow, work, out)

@@ -26,7 +26,7 @@ import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, in_arrow
+from loomline.llm.common import chunks, clear_name, in_arrow, without_outputs
 
 PER_LANG = 5_000
 SWITCH_PENALTY = 14.0
@@ -282,8 +282,9 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Str
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None, penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """The columns in keep (default: all; only these and the text are read) with lang_pred, score and spans."""
-    keep = docs.columns if keep is None else keep
+    """The columns in keep (default: all; only these and the text are read) with lang_pred, score and spans, which replace columns of these names."""
+    keep = without_outputs(docs.columns if keep is None else keep, ("lang_pred", "score", "spans"))
+    held = clear_name(docs, "text")
     if model is None:
         return docs.select(*keep, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.array().cast(SPANS).alias("spans"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * languages floats
@@ -292,9 +293,9 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(shared.value)
-        for part, texts in chunks(batches, "_text"):
+        for part, texts in chunks(batches, held):
             told = label(texts, words, penalty)
             arrays = [pa.array([x[0] for x in told]), pa.array([x[1] for x in told], pa.float64()), pa.array([x[2] for x in told], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *arrays], [*keep, *found.names])
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).transform(in_arrow, work, out)
+    return docs.select(*keep, F.col(text_col).alias(held)).transform(in_arrow, work, out)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import clear_name
+from loomline.llm.common import clear_name, without_outputs
 
 #: The base phrases and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -100,8 +100,11 @@ def _stands(words: Column, phrase: list[str], start: Column) -> Column:
 
 
 def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, templates=TEMPLATES, phrases: dict[str, str] = BASE_PHRASES) -> DataFrame:
-    """The columns in keep (default: all) with n_words, n_base, first_word, last_word, base_labels, labels, score, spans."""
-    keep = docs.columns if keep is None else keep
+    """The columns in keep (default: all) with n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
+
+    These replace columns of these names.
+    """
+    keep = without_outputs(docs.columns if keep is None else keep, ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"))
     text, words, hits, places, found = (clear_name(docs, x) for x in ("text", "words", "hits", "places", "found"))
     index = rare_index(*document_frequencies(docs, text_col, templates), templates)
     # Files without any rare word of a template or last word of a phrase hold nothing and are not split at all.

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import clear_name, n_words, written
+from loomline.llm.common import clear_name, n_words, without_outputs, written
 
 #: Weights of the sources in code-point order, repeating; share of all words; bound on repeats.
 WEIGHTS = (3, 1, 2)
@@ -29,6 +29,8 @@ SHARE = 1.5
 MOST_REPEATS = 2
 #: Slope of the weight schedules, repeating likewise: weight at u is proportional to 1 + slope * (2u - 1).
 SLOPES = (0.5, 0.0, -0.5)
+#: What the operator adds to the columns it keeps.
+OUTPUTS = ("size", "source_size", "target", "taken", "copies", "position", "last_position")
 #: A table of sources of at most this many rows is broadcast.
 BROADCAST_SOURCES = 100_000
 
@@ -65,13 +67,15 @@ def due(demanded: Column, target: Column, slope: Column) -> Column:
     return F.when((slope == 0) | (part == 0), part).otherwise((F.sqrt(flat * flat + 4 * slope * part) - flat) / (2 * slope))
 
 
-def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None, **options) -> DataFrame:
+def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None, prefix: str = "", **options) -> DataFrame:
     """The columns in keep (default: all) with size, source_size, target, taken, copies, position, last_position.
 
+    These, each after the prefix, replace columns of these names.
+
     position: when the first copy is due, in [0, 1]; null if nothing is taken. A repeat follows at last_position.
     """
-    keep = docs.columns if keep is None else keep
-    size, src, key, bucket, ahead, got, base, s_size, target, slope, src2, b2 = (clear_name(docs, x) for x in ("size", "src", "key", "bucket", "ahead", "got", "base", "s_size", "target", "slope", "src2", "b2"))
+    keep = without_outputs(docs.columns if keep is None else keep, (prefix + c for c in OUTPUTS))
+    size, src, key, bucket, ahead, got, base, s_size, target, slope, src2, b2, times = (clear_name(docs, x) for x in ("size", "src", "key", "bucket", "ahead", "got", "base", "s_size", "target", "slope", "src2", "b2", "times"))
     marked = docs.withColumn(size, n_words(F.col(text_col)).cast("long")).withColumn(key, F.xxhash64(F.col(id_col), F.col(size)))
     slim = written(marked.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(key).alias("key"), F.col(size).alias("size")), "mix-sizes")
     rows = slim.count()
@@ -105,16 +109,16 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     some = F.col(got) > 0
     return (
         lined.withColumn(got, taken)
-        .withColumn("copies_", F.when(some, whole + F.when(extra > 0, 1).otherwise(0)).otherwise(0).cast("int"))
+        .withColumn(times, F.when(some, whole + F.when(extra > 0, 1).otherwise(0)).otherwise(0).cast("int"))
         .select(
             *keep,
-            *[x for x in (F.col(size).alias("size"),) if "size" not in keep],
-            F.col(s_size).alias("source_size"),
-            F.col(target).alias("target"),
-            F.col(got).alias("taken"),
-            F.col("copies_").alias("copies"),
-            F.when(some, due(F.col(ahead), F.col(target), F.col(slope))).alias("position"),
-            F.when(some, due(last, F.col(target), F.col(slope))).alias("last_position"),
+            F.col(size).alias(f"{prefix}size"),
+            F.col(s_size).alias(f"{prefix}source_size"),
+            F.col(target).alias(f"{prefix}target"),
+            F.col(got).alias(f"{prefix}taken"),
+            F.col(times).alias(f"{prefix}copies"),
+            F.when(some, due(F.col(ahead), F.col(target), F.col(slope))).alias(f"{prefix}position"),
+            F.when(some, due(last, F.col(target), F.col(slope))).alias(f"{prefix}last_position"),
         )
     )
 
@@ -125,10 +129,17 @@ def training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def repeated(mixed: DataFrame, columns: list[str], id_col: str = "doc_id") -> DataFrame:
-    """The mix itself: a row per copy (the document the target falls in is whole), range-sorted by the time it is due."""
-    when = clear_name(mixed, "when")
-    step = (F.col("last_position") - F.col("position")) / (F.col("copies") - 1)
-    times = F.when(F.col("copies") > 1, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: F.col("position") + step * k)).otherwise(F.array("position"))
+def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The mix itself, with the columns of docs: a row per copy, range-sorted by the time it is due.
+
+    The document in which a target falls is whole here.
+    """
+    prefix = clear_name(docs, "mix_")
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    copies, first, last, when = (f"{prefix}{x}" for x in ("copies", "position", "last_position", "when"))
+    step = (F.col(last) - F.col(first)) / (F.col(copies) - 1)
+    times = F.when(F.col(copies) > 1, F.transform(F.sequence(F.lit(0), F.col(copies) - 1), lambda k: F.col(first) + step * k)).otherwise(F.array(first))
     order = [F.col(when), F.xxhash64(F.col(id_col))]
-    return mixed.filter("copies > 0").withColumn(when, F.explode(times)).repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
+    rows = curriculum(docs, id_col, prefix=prefix, **options).filter(F.col(copies) > 0).withColumn(when, F.explode(times))
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)

@@ -21,7 +21,7 @@ import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, in_arrow
+from loomline.llm.common import chunks, clear_name, in_arrow, without_outputs
 
 #: Texts of the sample that costs and rejections are measured on, and the most bytes one may have.
 SAMPLE_ROWS = 500
@@ -171,11 +171,12 @@ def ordered(costs: dict[str, tuple[float, float]], rules: tuple[Rule, ...] = RUL
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", keep: list[str] | None = None, report: tuple[str, ...] = ()) -> DataFrame:
-    """The columns in keep (default: all) with the features in report, base_failed and kept."""
-    keep = docs.columns if keep is None else keep
+    """The columns in keep (default: all) with the features in report, base_failed and kept, which replace columns of these names."""
+    keep = without_outputs(docs.columns if keep is None else keep, (*report, "base_failed", "kept"))
+    held = clear_name(docs, "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches, "_text"):
+        for part, texts in chunks(batches, held):
             x, every = Texts(texts), np.arange(len(texts))
             base_failed, kept = np.zeros(len(texts), bool), np.ones(len(texts), bool)
             told = [x.get(f, every) for f in report]
@@ -191,7 +192,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", keep
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *map(pa.array, told), pa.array(base_failed), pa.array(kept)], [f.name for f in out])
 
     out = T.StructType([*[docs.schema[c] for c in keep], *[T.StructField(f, T.LongType()) for f in report], T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())])
-    return docs.select(*keep, F.col(text_col).alias("_text")).transform(in_arrow, work, out)
+    return docs.select(*keep, F.col(text_col).alias(held)).transform(in_arrow, work, out)
 
 
 def cascade(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, rules: tuple[Rule, ...] = RULES, report: tuple[str, ...] = ()) -> DataFrame:

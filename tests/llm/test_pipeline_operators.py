@@ -171,9 +171,9 @@ def test_mixing(docs, empty):
         assert r["position"] is None or 0 <= r["position"] <= r["last_position"] <= 1
     assert all(abs(taken[s] - target[s]) <= 1 for s in names)
     assert sorted(map(str, got)) == sorted(map(str, mixing.curriculum(docs.repartition(7), keep=["doc_id", "source"]).collect()))
-    whole = mixing.repeated(mixing.curriculum(docs), docs.columns)
+    whole = mixing.mixed(docs)
     assert whole.columns == docs.columns and whole.count() == sum(r["copies"] for r in got)
-    assert mixing.curriculum(empty).count() == mixing.repeated(mixing.curriculum(empty), empty.columns).count() == 0
+    assert mixing.curriculum(empty).count() == mixing.mixed(empty).count() == 0
 
 
 def test_packing(docs, empty):
@@ -409,3 +409,21 @@ def test_kth_key(spark):
     for k in (1, 2, 500, 1520, 3039, 3040, 9999):
         assert resampling.kth_key(df, k) == sorted(keys, reverse=True)[min(k, len(keys)) - 1]
     assert resampling.kth_key(df, 0) == math.inf
+
+
+def test_outputs_replace_columns_of_their_names(docs):
+    """And a column named like an operator's own helper is no trouble."""
+    names = ["score", "Spans", "lang_pred", "n_words", "labels", "kept", "base_failed", "target", "copies", "position", "_mix_copies", "_text", "_html", "n_chars", "fp", "fingerprint", "quality", "weight", "key", "chunk", "rank", "length", "word", "base"]
+    clash = docs.filter("doc_id < 14").withColumns({n: F.lit(-1) for n in names})
+    n = clash.count()
+    model = langid.train(clash, F.lit(True))
+    for df in (
+        langid.identify(clash, model), langid.identify(clash, None), quality_rules.cascade(clash, report=quality_rules.BASE), licenses.scan(clash), mixing.curriculum(clash), html_extract.extract(clash, "text"),
+        exact_dedup.exact_groups(clash), simhash.simhash_groups(clash), class_lm.score(clash, *class_lm.fit(clash, F.lit(True))), resampling.classify(clash, clash.select("doc_id", F.lit(1).alias("quality"))),
+    ):
+        assert len({c.lower() for c in df.columns}) == len(df.columns) and len(df.collect()) == n
+    got = quality_rules.cascade(clash, report=quality_rules.BASE).first()
+    assert got["n_words"] >= 0 and got["kept"] in (True, False) and got["_text"] == -1
+    for df in (mixing.mixed(clash), exact_dedup.exact_dedup(clash), simhash.simhash_dedup(clash), resampling.resample(clash, clash.select("doc_id", F.lit(1).alias("quality")))):
+        assert df.columns == clash.columns and df.collect()[0]["copies"] == -1
+    assert packing.pack(clash, public_tokenizers.path("word_bpe_49k.json")).collect()
