@@ -153,8 +153,8 @@ def measured(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] =
     The sample is read partition by partition until it is full, so a large table isn't read or shuffled for it, and is
     measured on the driver: at most `rows` texts of at most SAMPLE_BYTES each. It settles the order of rules only.
     """
-    few = docs.select(F.col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES).limit(rows).toArrow()
-    texts = [t.encode() for t in few.column("text").to_pylist()]
+    few = docs.select(F.col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES).take(rows)
+    texts = [r["text"].encode() for r in few]
     found = {}
     for r in rules:
         x, every = Texts(texts), np.arange(len(texts))
