@@ -39,7 +39,7 @@ def exact(docs: DataFrame, text: str = "text", order: str = "doc_id") -> DataFra
 ONE_TASK = 60_000
 
 
-def resolve(buckets: DataFrame, payload: DataFrame, similarity: Callable, local: Callable, threshold: float) -> DataFrame:
+def resolve(buckets: DataFrame, payload: DataFrame | Callable[[DataFrame], DataFrame], similarity: Callable, local: Callable, threshold: float) -> DataFrame:
     """Sequential keep-first without all pairs: node, parent (null: kept) of every node of buckets (bucket, node).
 
     A node is dropped if an earlier kept one of its buckets is similar. In rounds, each bucket's earliest undecided node
@@ -47,11 +47,14 @@ def resolve(buckets: DataFrame, payload: DataFrame, similarity: Callable, local:
     verified against it, and the similar ones are dropped. Comparisons are with leaders only, so a group of copies costs
     one each. When few memberships are left, one task settles them in order.
 
-    payload has node and a column `value`; similarity compares two of them as Columns, local as NumPy arrays.
+    payload has node and a column `value`, or makes that of the nodes that share a bucket; similarity compares two
+    values as Columns, local as NumPy arrays.
     """
     held = written(buckets.select("bucket", "node").distinct(), "memberships")
     shared = held.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     left = written(held.join(shared, "bucket", "left_semi"), "buckets")
+    if callable(payload):
+        payload = payload(left.select("node").distinct())
     alone = held.select("node").distinct().join(left.select("node").distinct(), "node", "left_anti")
     done = [alone.select("node", F.lit(None).cast(held.schema["node"].dataType).alias("parent"))]
     while (n := left.count()) > ONE_TASK:
@@ -72,7 +75,8 @@ def resolve(buckets: DataFrame, payload: DataFrame, similarity: Callable, local:
 
 def _in_order(left: DataFrame, payload: DataFrame, local: Callable, threshold: float) -> DataFrame:
     """The rest of resolve() in one task."""
-    nodes = left.groupBy("node").agg(F.collect_list("bucket").alias("buckets")).join(payload.select("node", "value"), "node")
+    # Written, so that the one task reads the rest alone and not all of the payload.
+    nodes = written(left.groupBy("node").agg(F.collect_list("bucket").alias("buckets")).join(payload.select("node", "value"), "node").select("node", "buckets", "value"), "rest")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_in: dict[int, list[int]] = {}
@@ -91,7 +95,7 @@ def _in_order(left: DataFrame, payload: DataFrame, local: Callable, threshold: f
                 told[1].append(parent)
         yield pa.RecordBatch.from_arrays([pa.array(told[0], pa.int64()), pa.array(told[1], pa.int64())], ["node", "parent"])
 
-    return nodes.select("node", "buckets", "value").coalesce(1).sortWithinPartitions("node").mapInArrow(settle, "node long, parent long")
+    return nodes.coalesce(1).sortWithinPartitions("node").mapInArrow(settle, "node long, parent long")
 
 
 def set_jaccard(a: np.ndarray, b: np.ndarray) -> float:
