@@ -132,7 +132,7 @@ def similar_pairs(vectors: DataFrame, threshold: float, order: str = "vec_id", v
     For tables of moderate size: vectors are dealt to blocks, and each pair of blocks is one matrix product in a task.
     """
     count = vectors.count()
-    blocks = blocks or max(1, min(200, -(-count // 2000)))
+    blocks = blocks or max(1, min(200, -(-count // 2000)), -(-count // 20_000))
     own = vectors.select(F.col(order).alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(order), F.lit(blocks)).cast("int").alias("own"))
     meet = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda k: F.least(F.col("own"), k) * blocks + F.greatest(F.col("own"), k))
     dealt = own.select(F.explode(meet).alias("meeting"), "id", "v", "own")
@@ -175,21 +175,39 @@ def greedy(pairs: DataFrame) -> DataFrame:
     return edges.join(kept, "a").join(state.filter("not kept").select(F.col("node").alias("b")), "b").groupBy("b").agg(best.alias("x")).select(F.col("b").alias("node"), F.col("x.a").alias("parent"), F.col("x.similarity").alias("similarity"))
 
 
-def semantic(vectors: DataFrame, threshold: float = 0.92, order: str = "vec_id", vector: str = "embedding", exact_up_to: int = 200_000, tables: int = 48, bits: int = 12, seed: int = 5) -> DataFrame:
+def semantic(vectors: DataFrame, threshold: float = 0.92, order: str = "vec_id", vector: str = "embedding", exact_up_to: int | None = None, tables: int = 48, bits: int = 12, seed: int = 5) -> DataFrame:
     """order, parent, similarity of unit vectors; null for those that stay.
 
-    Up to exact_up_to vectors all pairs are compared in blocks, and the parent is the most similar kept vector. Beyond,
-    sign random projections propose (a pair at 0.92 with a probability over 0.999) and the product decides; the parent is
-    the first kept vector found.
+    All pairs are compared in blocks at every size, and the parent is the most similar kept vector. Copies of a unit
+    vector meet first by one key and share its pairs. Only a caller that gives exact_up_to lets larger tables go by sign
+    random projections, which lose pairs (a pair at 0.92 is proposed with a probability over 0.999, one at 0.4 with about
+    0.17) and report the first kept vector found.
     """
-    if vectors.count() <= exact_up_to:
-        found = greedy(similar_pairs(vectors, threshold, order, vector))
+    if exact_up_to is None or vectors.count() <= exact_up_to:
+        found = _semantic_exact(vectors, threshold, order, vector)
     else:
         found = _semantic_by_projections(vectors, threshold, order, vector, tables, bits, seed)
     found = found.select(F.col("node").alias("_node"), "parent", "similarity")
     return vectors.select(order).join(found, F.col(order) == F.col("_node"), "left").select(order, "parent", "similarity")
 
 
+def _semantic_exact(vectors: DataFrame, threshold: float, order: str, vector: str) -> DataFrame:
+    own = vectors.select(F.col(order).alias("node"), F.col(vector).cast("array<double>").alias("v")).withColumn("self", F.round(dot(F.col("v"), F.col("v")), 6))
+    unit = (F.abs(F.col("self") - 1) < 1e-3) & (F.col("self") >= threshold)
+    met = written(keep_first(own, F.sha2(F.col("v").cast("string"), 256), "node", unit), "vector-twins")
+    pairs = written(similar_pairs(met.filter(F.col("parent").isNull()).select("node", "v"), threshold, "node", "v"), "vector-pairs")
+    found = written(greedy(pairs), "vector-found")
+    twins = met.filter(F.col("parent").isNotNull()).select("node", F.col("parent").alias("first"), F.round("self", 4).alias("self"))
+    gone = found.select(F.col("node").alias("gone"))
+    # A copy of a kept vector goes for that; one of a dropped vector for the most similar kept vector before the copy.
+    of_kept = twins.join(gone, F.col("first") == F.col("gone"), "left_anti").select("node", F.col("first").alias("parent"), F.col("self").alias("similarity"))
+    sides = pairs.select(F.col("a").alias("k"), F.col("b").alias("f"), "similarity").unionByName(pairs.select(F.col("b").alias("k"), F.col("a").alias("f"), "similarity"))
+    sides = sides.join(twins.select(F.col("first").alias("f")).distinct().join(gone, F.col("f") == F.col("gone"), "left_semi"), "f", "left_semi").join(gone, F.col("k") == F.col("gone"), "left_anti")
+    best = F.max_by(F.struct("k", "similarity"), F.struct("similarity", -F.col("k")))
+    of_gone = twins.join(sides, (F.col("first") == F.col("f")) & (F.col("k") < F.col("node"))).groupBy("node").agg(best.alias("x")).select("node", F.col("x.k").alias("parent"), F.col("x.similarity").alias("similarity"))
+    return found.unionByName(of_kept).unionByName(of_gone)
+
+
 def _semantic_by_projections(vectors: DataFrame, threshold: float, order: str, vector: str, tables: int, bits: int, seed: int) -> DataFrame:
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
