@@ -73,6 +73,21 @@ def resolve(buckets: DataFrame, payload: DataFrame | Callable[[DataFrame], DataF
     return written(reduce(DataFrame.unionByName, done), "resolved")
 
 
+def first_parents(told: DataFrame, buckets: DataFrame, payload: DataFrame, similarity: Callable, threshold: float) -> DataFrame:
+    """told of resolve(), each parent replaced by the earliest similar kept node over all the dropped node's buckets.
+
+    In rounds a node meets leaders that are free by then, perhaps a later one first. Only kept nodes before the parent at
+    hand are compared.
+    """
+    dropped = told.filter(F.col("parent").isNotNull())
+    kept = buckets.join(told.filter(F.col("parent").isNull()).select("node"), "node", "left_semi").select("bucket", F.col("node").alias("k"))
+    pairs = buckets.join(dropped, "node").join(kept, "bucket").filter("k < parent").select("node", "k").distinct()
+    a, b = payload.select("node", F.col("value").alias("a")), payload.select(F.col("node").alias("k"), F.col("value").alias("b"))
+    alike = pairs.join(a, "node").join(b, "k").filter(similarity(F.col("a"), F.col("b")) >= threshold)
+    earlier = written(alike.groupBy("node").agg(F.min("k").alias("k")), "earlier")
+    return told.join(earlier, "node", "left").select("node", F.coalesce("k", "parent").alias("parent"))
+
+
 def _in_order(left: DataFrame, payload: DataFrame, local: Callable, threshold: float) -> DataFrame:
     """The rest of resolve() in one task."""
     # Written, so that the one task reads the rest alone and not all of the payload.
@@ -116,7 +131,9 @@ def near(docs: DataFrame, text: str = "text", order: str = "doc_id", threshold:
     same = written(same.select("node", "shingles", "keys", F.col("parent").alias("twin")), "twins")
     single = same.filter(F.col("twin").isNull())
 
-    told = resolve(single.select(F.explode("keys").alias("bucket"), "node"), single.select("node", F.col("shingles").alias("value")), X.jaccard, set_jaccard, threshold)
+    buckets, payload = single.select(F.explode("keys").alias("bucket"), "node"), single.select("node", F.col("shingles").alias("value"))
+    told = resolve(buckets, payload, X.jaccard, set_jaccard, threshold)
+    told = first_parents(told, buckets, payload, X.jaccard, threshold)
     # A copy of a dropped text is dropped for the same document, a copy of a kept one for that.
     twins = same.filter(F.col("twin").isNotNull()).select("node", "twin").join(told.select(F.col("node").alias("twin"), F.col("parent").alias("up")), "twin").select("node", F.coalesce("up", "twin").alias("parent"))
     found = written(told.filter(F.col("parent").isNotNull()).unionByName(twins), "near-found")

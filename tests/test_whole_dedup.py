@@ -29,3 +29,21 @@ def test_semantic_has_one_path_and_collapses_copies(spark, monkeypatch):
     got = {r["vec_id"]: (r["parent"], r["similarity"]) for r in dedup.semantic(df, 0.4).collect()}
     assert {i: p for i, (p, _) in got.items()} == want and counted == [33]
     assert all(abs(x - s[i, p]) < 1e-9 for i, (p, x) in got.items() if p is not None)
+
+
+def test_near_reports_the_earliest_similar_kept_parent_in_rounds(spark, monkeypatch):
+    """7 shares buckets with 3 and 5 and is like both; 3 isn't free in the first round, because 1 leads another of its buckets."""
+    from loomline.functions import text as X
+
+    values = {1: [100, 101], 3: [1, 2, 3, 4], 5: [3, 4, 5, 6], 7: [1, 2, 3, 4, 5, 6]}
+    held = [("x", 1), ("x", 3), ("y", 3), ("y", 7), ("z", 5), ("z", 7)]
+    buckets = spark.createDataFrame(held, "bucket string, node long")
+    payload = spark.createDataFrame(list(values.items()), "node long, value array<long>")
+    got = {}
+    for one_task in (0, 60_000):
+        monkeypatch.setattr(dedup, "ONE_TASK", one_task)
+        told = dedup.resolve(buckets, payload, X.jaccard, dedup.set_jaccard, 0.6)
+        got[one_task] = {r["node"]: r["parent"] for r in dedup.first_parents(told, buckets, payload, X.jaccard, 0.6).collect()}
+        if not one_task:
+            assert {r["node"]: r["parent"] for r in told.collect()}[7] == 5
+    assert got[0] == got[60_000] == {1: None, 3: None, 5: None, 7: 3}
