@@ -33,9 +33,11 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 #: HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript iframe template svg math object xmp noembed noframes".split())
+RAW = frozenset("script style textarea iframe noembed noframes".split())  # raw text: without an end tag to the page's end
+SKIPPED = frozenset("noscript template svg".split())  # without an end tag, the tag alone
+KEPT = frozenset("math xmp".split())  # text alone, as content
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math object q rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FURNITURE = frozenset("head nav header footer aside form button select option fieldset input label dialog menu".split())
@@ -137,13 +139,22 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                     break
             heading = heading and tag not in HEADINGS
             continue
-        if tag in RAW:
+        attributes = m[3] or m[6] or ""
+        if tag in RAW or tag in SKIPPED or tag in KEPT:
+            if attributes.endswith("/") and tag in ("svg", "math"):
+                continue
             over = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = over.end() if over else len(page)
+            if over or tag in RAW or tag == "xmp":
+                inner = page[at : over.start() if over else len(page)]
+                at = over.end() if over else len(page)
+                if tag == "math":
+                    text(_TAG.sub("", inner))
+                elif tag == "xmp":  # its text is literal
+                    text(html_lib.escape(inner))
+                    close()
             continue
         if tag in VOID:
             continue
-        attributes = m[3] or m[6] or ""
         if tag not in INLINE:  # a paragraph or item ends where the next block begins
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p" or stack[k][0] == tag == "li":
