@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,8 @@ from loomline.llm.common import chunks, clear_name, in_arrow, without_outputs
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^>]*+(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+#: Names that say how a wrapper is laid out, not what it is.
+_LAYOUT = re.compile(r"(?<![\w-])(?:has|no|with|without)[-_]+[\w-]+", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 #: HTML's element kinds.
@@ -85,20 +88,22 @@ class Block:
     main: bool
     furniture: bool
     heading: bool
+    named: tuple[int, ...] = ()
 
 
 def _names(attributes: str) -> set[str]:
     """The words of class, id and role; a name that begins with a stem of page furniture counts as that."""
-    found = {p.lower() for m in _NAMES.finditer(attributes) for p in _PARTS.findall(m[1])}
+    found = {p.lower() for m in _NAMES.finditer(attributes) for p in _PARTS.findall(_LAYOUT.sub(" ", m[1]))}
     return found | {"aside" for n in found if n.startswith(FURNITURE_STEMS) and not n.startswith("commentar")}
 
 
 def blocks(page: str) -> tuple[list[Block], bool]:
     """(flat text blocks in page order, whether the page has an article)."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, article, furniture, link: with those around
+    stack: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []  # tag, article, furniture, link, wrappers with names of furniture: with those around
+    wrappers, articles = 0, []  # articles: the wrappers around each
     parts: list[tuple[str, bool]] = []
-    heading, has_main, at = False, False, 0
+    heading, at = False, 0
 
     def text(t: str) -> None:
         if t:
@@ -112,8 +117,8 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         linked = len(html_lib.unescape(" ".join(p for p, inside in parts if inside)).split())
         parts.clear()
         if whole:
-            main, furniture = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            found.append(Block(" ".join(whole), len(whole), min(linked, len(whole)), main, furniture, heading))
+            _, main, furniture, _, named = stack[-1] if stack else ("", False, False, False, ())
+            found.append(Block(" ".join(whole), len(whole), min(linked, len(whole)), main, furniture, heading, named))
 
     def leave(k: int) -> None:
         del stack[k:]
@@ -162,22 +167,45 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                     break
                 if stack[k][0] not in INLINE:
                     break
-        main, furniture, link = stack[-1][1:] if stack else (False, False, False)
+        main, furniture, link, named = stack[-1][1:] if stack else (False, False, False, ())
         names = _names(attributes) if attributes and tag not in ("html", "body") else set()
         is_main = tag in MAIN or bool(names & MAIN_NAMES and tag not in INLINE and not names & FURNITURE_NAMES)
         if tag in HEADINGS:
             heading = True
-        has_main |= is_main and not furniture
+        if is_main and not furniture:
+            articles.append(named)
         # The title's own wrapper inside an article is not page furniture.
-        own = (tag in FURNITURE and not (tag == "header" and main)) or (bool(names & FURNITURE_NAMES) and tag not in MAIN and not (main and names & {"header"} and len(names & FURNITURE_NAMES) == 1))
-        own = own or bool(attributes and _HIDDEN.search(attributes))
+        own = (tag in FURNITURE and not (tag == "header" and main)) or bool(attributes and _HIDDEN.search(attributes))
+        if names & FURNITURE_NAMES and tag not in MAIN and not (main and names & {"header"} and len(names & FURNITURE_NAMES) == 1):
+            wrappers += 1
+            named = (*named, wrappers)
         if tag == "label" or tag == "input":
             close()
         if not (attributes.endswith("/") and tag in INLINE):
-            stack.append((tag, main or is_main, furniture or own, link or tag == "a"))
+            stack.append((tag, main or is_main, furniture or own, link or tag == "a", named))
     text(page[at:])
     close()
-    return found, has_main
+    return found, _judge(found, articles)
+
+
+def _judge(found: list[Block], articles: list[tuple[int, ...]]) -> bool:
+    """Settles which named wrappers are furniture; whether the page has an article outside of that.
+
+    A name is no verdict on a wrapper around the page's only articles, or, on a page without any, around over half of
+    its words outside of links and furniture elements.
+    """
+    cleared: set[int] = set()
+    if articles and all(articles):
+        cleared = {w for around in articles for w in around}
+    elif not articles:
+        words: Counter = Counter()
+        for b in found:
+            if not b.furniture:
+                words.update(dict.fromkeys((0, *b.named), b.words - b.linked))
+        cleared = {w for w, n in words.items() if 2 * n > words[0]}
+    for b in found:
+        b.furniture = b.furniture or not cleared.issuperset(b.named)
+    return any(cleared.issuperset(around) for around in articles)
 
 
 def features(found: list[Block], has_main: bool) -> np.ndarray:

@@ -20,3 +20,20 @@ from loomline.llm import html_extract
 )
 def test_icons_formulas_and_objects(inside, kept):
     assert html_extract.main_text(f"<article>{inside}</article>", html_extract.trained()) == kept
+
+
+LONG = " ".join(["Plain words of a long and link-poor paragraph that make the page."] * 6)
+
+
+@pytest.mark.parametrize(
+    ("page", "kept"),
+    [
+        (f"<div class='content has-sidebar'><p>{LONG}</p><p>{LONG}</p></div><div class='sidebar'><p>Side words.</p></div>", f"{LONG}\n\n{LONG}"),
+        (f"<div id='page' class='no-sidebar'><article><p>{LONG}</p><div class='ad'>Buy</div></article></div>", LONG),
+        (f"<div class='elementor-widget'><article><p>{LONG}</p></article></div><div class='widget'><p>{LONG}</p></div>", LONG),
+        (f"<div class='elementor-widget elementor-widget-text-editor'><p>{LONG}</p></div><div class='comments'><p>Nice post.</p></div>", LONG),
+        (f"<article><p>Short.</p></article><div class='comments'><p>{LONG}</p><article>A comment.</article></div>", "Short."),
+    ],
+)
+def test_names_of_wrappers_are_no_verdict(page, kept):
+    assert html_extract.main_text(f"<html><body>{page}</body></html>", html_extract.trained()) == kept
