@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.types as T
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.common import chunks, clear_name, in_arrow, written
@@ -58,22 +58,31 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-width])).tolist()
     view = memoryview(flat)
-    hashes = np.array([digest(view[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)], np.uint64)
+    return majority(np.array([digest(view[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes, as a signed 64-bit value."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def text_key(text: Column) -> Column:
+    """What parts rows of one id by their texts; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """doc_id, fp (signed 64 bits) of every row."""
+    """doc_id, key of the text, fp (signed 64 bits) of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([fingerprint(t, width) for t in texts], pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([fingerprint(t, width) for t in texts], pa.int64())], ["doc_id", "key", "fp"])
 
-    kind = docs.schema[id_col].dataType
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).transform(in_arrow, work, T.StructType([T.StructField("doc_id", kind), T.StructField("fp", T.LongType())]))
+    out = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("key", T.BinaryType()), T.StructField("fp", T.LongType())])
+    return docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).transform(in_arrow, work, out)
 
 
 def block_masks(radius: int, agree: int) -> list[int]:
@@ -228,11 +237,16 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _roots(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, least id of every distinct fingerprint; node, root of those that are linked to others)."""
+    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    return nodes, written(components(links(nodes.select("fp"), nodes.count(), radius)), "simhash-roots")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
-    fps = written(fingerprints(docs, id_col, text_col, width), "simhash-fp")
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = written(components(links(nodes.select("fp"), nodes.count(), radius)), "simhash-roots")
+    fps = written(fingerprints(docs, id_col, text_col, width).drop("key"), "simhash-fp")
+    nodes, roots = _roots(fps, radius)
     # Linked nodes only: the smallest id of each component. Others keep their own.
     linked = nodes.join(roots, nodes.fp == roots.node).select("fp", "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
@@ -242,9 +256,30 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return fps.join(known, fps.fp == known.fp3).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, grouped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group the row of docs with the smallest id (null last), then text key; of equal rows one.
+
+    grouped has doc_id, key (of the text) and group for every row of docs. Rows go by id and text together, so a row is
+    judged by its own group even where its id repeats in another.
+    """
+    pairs = written(grouped.groupBy("doc_id", "key", "group").agg(F.count("*").alias("n")), "group-rows")
+    firsts = written(pairs.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")).select(F.col("group").alias("group2"), "first"), "group-firsts")
+    met = pairs.join(firsts, F.col("group") == F.col("group2")).withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")))
+    met = written(met.select("doc_id", "key", "n", "stays").filter("n > 1 or not stays"), "group-told")
+    key, gone_id, gone_key = (clear_name(docs, x) for x in ("key", "gone_id", "gone_key"))
+    named = lambda rows: rows.select(F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key))
+    same = F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
+    keyed = docs.withColumn(key, text_key(F.col(text_col)))
+    # Rows that are alone in their group or its only first aren't in met. Copies of a first in id and text are rare.
+    stay = keyed.join(named(met), same, "left_anti").drop(key)
+    if met.filter("stays").isEmpty():
+        return stay
+    return stay.unionByName(keyed.join(named(met.filter("stays")), same, "left_semi").dropDuplicates([id_col, key]).drop(key))
+
+
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs that stay: of each component the one with the smallest id. Ids must be unique for a single survivor."""
-    groups = simhash_groups(docs, id_col, text_col, width, radius)
-    gone = clear_name(docs, "gone")
-    dropped = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias(gone))
-    return docs.join(dropped, F.col(id_col) == F.col(gone), "left_anti")
+    """The rows of docs that stay: of each component the one with the smallest id, as one_of_each() has it."""
+    fps = written(fingerprints(docs, id_col, text_col, width), "simhash-fp")
+    _, roots = _roots(fps, radius)
+    grouped = fps.join(roots, F.col("fp") == F.col("node"), "left").select("doc_id", "key", F.coalesce("root", "fp").alias("group"))
+    return one_of_each(docs, grouped, id_col, text_col)

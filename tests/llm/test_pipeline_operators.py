@@ -116,6 +116,14 @@ def test_simhash(docs, empty):
     assert simhash.fingerprint(LONG.encode()) != 0
 
 
+def test_simhash_dedup_judges_rows_by_their_own_text(spark):
+    a, b, c = ("alpha beta gamma delta " * 9, "one two three four five " * 9, "red green blue white black " * 9)
+    docs = spark.createDataFrame([(1, a, 1), (2, a, 2), (2, b, 3), (3, c, 4), (1, a, 1), (None, c, 5), (None, "x", 6), (None, "X", 7), (4, None, 8), (5, " ", 9)], "doc_id long, text string, source int")
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.simhash_dedup(docs).collect()), key=str)
+    null = [x for x in got if x[0] is None]
+    assert [x for x in got if x[0] is not None] == [(1, a), (2, b), (3, c), (4, None)] and len(null) == 1 and null[0][1].lower() == "x"
+
+
 @pytest.mark.parametrize("agree", [1, 2, 3])
 def test_simhash_shards_find_every_pair(agree):
     centres = RNG.integers(0, 2**63, 200, dtype=np.uint64)
