@@ -9,6 +9,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomline.storage import drop as drop
+from loomline.storage import new_path as new_path
+from loomline.storage import reread as reread
 from loomline.storage import written as written
 
 #: Rows and bytes of text that one worker handles at a time.

@@ -1,10 +1,17 @@
 """Exact deduplication by two-pass Bloom filtering, in DataFrame functions only.
 
-Pass 1 reads the texts' hashes and marks, in a bit map of fixed size, the positions hit at least twice (counted with a
-map-side combine, so a hot text is one row a task). A hash is *possibly repeated* if all its positions are marked.
-Pass 2 tests every row against the packed map. Rows that fail are certainly unique and pass straight through, with no
-shuffle; only possibly repeated rows meet by hash, where exact groups are formed. A full map (more rows than it was
-sized for) lets more rows through to the exact step, never fewer, so the result is the same at every size.
+Pass 1 builds two bit maps over the texts' hashes: the positions hit at least once and those hit at least twice. Each
+task packs the positions that its rows hit, by ``BUCKET`` positions of the map: one row per task and bucket, whatever
+the number of its rows, holds the positions seen once and those seen twice. These rows meet by bucket, where a
+position is in the second map if some task saw it twice or several tasks saw it. No row per document or position
+shuffles. The second map is packed in words of 64 positions.
+
+Pass 2 tests every row against the packed map. A hash with a position that isn't marked is certainly unique, and its row
+passes straight through, with no shuffle; only possibly repeated rows meet by hash, where exact groups are formed.
+
+A map has ``MOST_BITS`` bits at most, so that it can be broadcast. For more rows the hashes are split into ranges, each
+with a map of its own; the rows are dealt to folders by range (without a shuffle), and the passes run range by range.
+So the share of unique rows that take the exact path stays the same at every size.
 
 Texts are equal when identical; null counts as empty. Of equal texts the largest id stays (a null id only if all are
 null). Rows that repeat both text and id count as copies of one document: the group's size counts each, all are marked
@@ -17,13 +24,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import clear_name, written
+from loomline.llm.common import clear_name, drop, new_path, reread, written
 
-#: Bits of the filter for each row, and the most bits: 2**27 are 2**21 packed words, so a broadcast of 64 MB at most.
+#: Bits of the filter for each row, and the most bits of one map: 2**27 are 2**21 packed words, a broadcast of 64 MB at most.
 BITS_A_ROW = 16
 MOST_BITS = 1 << 27
-#: Positions a hash takes.
+#: Positions a hash takes, and positions whose hits travel together.
 POSITIONS = 2
+BUCKET = 1 << 15
 
 
 def _position(key: Column, k: int, bits: int) -> Column:
@@ -31,14 +39,25 @@ def _position(key: Column, k: int, bits: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key, F.lit(k)), 7).bitwiseAND(F.lit(bits - 1))
 
 
-def repeated_positions(keys: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]:
-    """(packed words of the positions hit at least twice, number of bits). Words without a marked bit are left out."""
-    bits = 1 << 10
-    while bits < min(MOST_BITS, rows * BITS_A_ROW):
+def filter_bits(rows: int) -> int:
+    """Bits of a map for this many rows: a power of two, two buckets at least."""
+    bits = 2 * BUCKET
+    while bits < rows * BITS_A_ROW:
         bits *= 2
-    hit = keys.select(F.explode(F.array(*[_position(F.col(key), k, bits) for k in range(POSITIONS)])).alias("pos")).groupBy("pos").agg(F.count("*").alias("hits")).filter("hits > 1")
-    words = hit.groupBy(F.shiftright("pos", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pos & 63 as int))")).alias("marked"))
-    return words, bits
+    return bits
+
+
+def repeated_positions(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """word, marked: packed words of the positions hit at least twice. Words without a marked bit are left out."""
+    shift = BUCKET.bit_length() - 1
+    hits = keys.select(F.spark_partition_id().alias("task"), F.explode(F.array(*[_position(F.col(key), k, bits) for k in range(POSITIONS)])).alias("pos"))
+    packed = hits.groupBy("task", F.shiftright("pos", shift).alias("bucket")).agg(F.array_sort(F.collect_list(F.col("pos").bitwiseAND(F.lit(BUCKET - 1)).cast("short"))).alias("at"))
+    again = lambda at: F.filter(at, lambda x, i: (i > 0) & (F.get(at, i - 1) == x))  # noqa: E731  at is sorted
+    maps = packed.select("bucket", F.array_distinct("at").alias("once"), F.array_distinct(again(F.col("at"))).alias("twice"))
+    met = maps.groupBy("bucket").agg(F.array_sort(F.flatten(F.collect_list("once"))).alias("once"), F.flatten(F.collect_list("twice")).alias("twice"))
+    marked = met.select("bucket", F.explode(F.array_union(again(F.col("once")), F.col("twice"))).alias("at"))
+    word = F.shiftleft("bucket", shift - 6) + F.shiftright(F.col("at").cast("long"), 6)
+    return marked.groupBy("bucket", word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("marked")).select("word", "marked")
 
 
 def with_possible(df: DataFrame, key: str, words: DataFrame, bits: int, name: str) -> DataFrame:
@@ -53,11 +72,43 @@ def with_possible(df: DataFrame, key: str, words: DataFrame, bits: int, name: st
     return out.withColumn(name, test).select(*df.columns, name)
 
 
+def _range(key: str, ranges: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key), F.lit(-1)), F.lit(ranges)).cast("int")
+
+
+def filters(keys: DataFrame, key: str) -> list[tuple[DataFrame, int]]:
+    """Pass 1: (packed words, bits) of the second map of each range of hashes; keys has the key of every row."""
+    n = keys.count()
+    ranges = max(1, -(-n * BITS_A_ROW // MOST_BITS))
+    bits = filter_bits(-(-n // ranges))
+    if ranges == 1:
+        return [(written(repeated_positions(keys, key, bits), "exact-filter"), bits)]
+    dealt = written(keys.select(key).withColumn("part", _range(key, ranges)), "exact-dealt", by="part")
+    return [(written(repeated_positions(dealt.filter(F.col("part") == r), key, bits), "exact-filter"), bits) for r in range(ranges)]
+
+
+def possibly_repeated(rows: DataFrame, key: str, name: str, maps: list[tuple[DataFrame, int]]) -> DataFrame:
+    """Pass 2: rows with a boolean, whether the key may occur in another row. False is certain."""
+    if len(maps) == 1:
+        return with_possible(rows, key, *maps[0], name)
+    part = clear_name(rows, "part")
+    dealt = written(rows.withColumn(part, _range(key, len(maps))), "exact-dealt", by=part)
+    path = new_path(rows.sparkSession, "exact-tested")
+    for r, (words, bits) in enumerate(maps):
+        tested = with_possible(dealt.filter(F.col(part) == r).drop(part), key, words, bits, name)
+        tested.write.mode("append").parquet(path)
+    drop(dealt)
+    return reread(rows.sparkSession, path, tested.schema)
+
+
+def _sha(text_col: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, keep_id, group_size, kept, text_sha256, and whether the filter passed it straight on."""
-    keys = written(docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("sha")), "exact-keys")
-    words, bits = repeated_positions(keys, "sha", keys.count())
-    tested = with_possible(keys, "sha", written(words, "exact-filter"), bits, "possible")
+    keys = written(docs.select(F.col(id_col).alias("doc_id"), _sha(text_col).alias("sha")), "exact-keys")
+    tested = possibly_repeated(keys, "sha", "possible", filters(keys, "sha"))
     alone = tested.filter(~F.col("possible")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha", F.lit(True).alias("straight"))
     rest = tested.filter("possible").select("doc_id", "sha")
     # Written, so that both sides of the join are plain exchanges, which adaptive execution can split at a hot text.
@@ -69,13 +120,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns. Rows that the filter finds unique never shuffle."""
     key, possible, keep, group = (clear_name(docs, x) for x in ("sha", "possible", "keep", "group"))
-    hashed = docs.withColumn(key, F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
+    hashed = docs.withColumn(key, _sha(text_col))
     keys = written(hashed.select(F.col(key).alias("sha"), F.col(id_col).alias("doc_id")), "exact-keys")
-    words, bits = repeated_positions(keys, "sha", keys.count())
-    words = written(words, "exact-filter")
-    tested = with_possible(hashed, key, words, bits, possible)
-    alone = tested.filter(~F.col(possible))
+    maps = filters(keys, "sha")
     # Text and id together pick the rows that stay, so the copies of a hot text are spread over all tasks.
-    groups = with_possible(keys, "sha", words, bits, "possible").filter("possible").groupBy("sha").agg(F.max("doc_id").alias(keep)).withColumnRenamed("sha", group)
+    groups = possibly_repeated(keys, "sha", "possible", maps).filter("possible").groupBy("sha").agg(F.max("doc_id").alias(keep)).withColumnRenamed("sha", group)
+    tested = possibly_repeated(hashed, key, possible, maps)
     rest = tested.filter(possible).join(groups, (F.col(key) == F.col(group)) & F.col(id_col).eqNullSafe(F.col(keep)), "left_semi")
-    return alone.select(*docs.columns).unionByName(rest.dropDuplicates([key]).select(*docs.columns))
+    return tested.filter(~F.col(possible)).select(*docs.columns).unionByName(rest.dropDuplicates([key]).select(*docs.columns))

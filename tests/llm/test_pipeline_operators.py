@@ -86,14 +86,33 @@ def test_exact_groups(docs, empty):
 
 def test_exact_filter_that_is_full_changes_nothing(docs, monkeypatch):
     whole = Counter(tuple(r[:5]) for r in exact_dedup.exact_groups(docs).collect())
-    monkeypatch.setattr(exact_dedup, "BITS_A_ROW", 0)  # 1024 bits, then of 16 rows each a few: all marked
     monkeypatch.setattr(exact_dedup, "POSITIONS", 1)
-    monkeypatch.setattr(exact_dedup, "_position", lambda key, k, bits: F.lit(5).cast("long"))
+    monkeypatch.setattr(exact_dedup, "_position", lambda key, k, bits: F.lit(5).cast("long"))  # all rows at one position
     got = exact_dedup.exact_groups(docs)
     assert not any(r["straight"] for r in got.collect())
     assert whole == Counter(tuple(r[:5]) for r in got.collect())
 
 
+def test_exact_filter_marks_what_is_hit_twice(spark):
+    keys = spark.createDataFrame([(f"k{i if i % 5 else i % 3}",) for i in range(3000)], "k string").repartition(7)
+    bits = 1 << 17
+    got = {}
+    for r in exact_dedup.repeated_positions(keys, "k", bits).collect():
+        got |= {64 * r["word"] + b: 1 for b in range(64) if r["marked"] >> b & 1}
+    hits = Counter(r["p"] for r in keys.select(F.explode(F.array(*[exact_dedup._position(F.col("k"), k, bits) for k in range(2)])).alias("p")).collect())
+    assert set(got) == {p for p, n in hits.items() if n > 1} and any(n == 1 for n in hits.values())
+
+
+def test_exact_filter_in_ranges(docs, empty, monkeypatch):
+    whole = Counter(tuple(r[:5]) for r in exact_dedup.exact_groups(docs).collect())
+    monkeypatch.setattr(exact_dedup, "MOST_BITS", 128)  # 28 rows of 16 bits: four ranges
+    got = exact_dedup.exact_groups(docs).collect()
+    assert whole == Counter(tuple(r[:5]) for r in got) and any(r["straight"] for r in got)
+    kept = exact_dedup.exact_dedup(docs)
+    assert kept.columns == docs.columns and sorted((r["text"] or "") for r in kept.collect()) == sorted({r[1] or "" for r in ROWS})
+    assert exact_dedup.exact_dedup(empty).count() == 0
+
+
 def _fingerprint(t):
     w = _plain(t).encode().split()
     grams = [b" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
