@@ -29,7 +29,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
-    scored = class_lm.score(docs, *class_lm.fit(docs, ~held_out))
+    scored = class_lm.fit_and_score(docs, ~held_out).docs
     return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
 
 

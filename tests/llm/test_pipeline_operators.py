@@ -250,36 +250,90 @@ def test_token_ids_are_the_tokenizers(t):
     assert packing.token_ids([t.encode()], words)[0].tolist() == [*words.encoder.encode(t, add_special_tokens=False).ids, 0]
 
 
-@pytest.mark.parametrize("known", [class_lm.KNOWN, 12, 0])
-def test_class_lm(docs, empty, known):
-    """With all words at hand, with most of them met by the join, and with none."""
-    scored = class_lm.score(docs, *class_lm.fit(docs, F.coalesce(F.col("doc_id"), F.lit(0)) % 5 != 0, head=min(known, 1000), known=known)).collect()
+def _seen(train):
     tokens = [[*_split(_plain(t)), ""] for _, t, *_ in ROWS]
-    seen = Counter(w for (i, *_), ws in zip(ROWS, tokens, strict=True) if (i or 0) % 5 for w in ws)
+    return tokens, Counter(w for (i, *_), ws in zip(ROWS, tokens, strict=True) if train(i or 0) for w in ws)
+
+
+@pytest.mark.parametrize(("head", "known"), [(1000, 1000), (8, 30), (3, 3), (0, 0)])
+def test_class_lm(docs, empty, head, known):
+    """With all words at hand, with most of them met by the join, and with none: counts, classes and scores by plain means."""
+    got = class_lm.fit_and_score(docs, F.coalesce(F.col("doc_id"), F.lit(0)) % 5 != 0, head=head, known=known)
+    scored = got.docs.collect()
+    tokens, seen = _seen(lambda i: i % 5)
     n, v = sum(seen.values()), len(seen)
     want = sorted((str(i), len(ws), sum(w in seen for w in ws), n, round(sum(math.log10((seen[w] + 1) / (n + v + 1)) for w in ws), 4)) for (i, *_), ws in zip(ROWS, tokens, strict=True))
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in scored) == want
-    assert all(r["score"] <= 0 for r in scored)
-    assert class_lm.score(empty, *class_lm.fit(empty, F.lit(True))).count() == 0
-    none = class_lm.score(docs, *class_lm.fit(docs, F.lit(False))).collect()
-    assert all(r["train_tokens"] == r["n_known"] == 0 and r["base_score"] == 0 for r in none)
-
-
-def test_class_lm_scores_do_not_depend_on_what_is_at_hand(docs):
-    """The same head, and more or fewer of the other words known: the same scores."""
-    some = [sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 6)) for r in class_lm.score(docs, *class_lm.fit(docs, F.lit(True), head=8, known=k)).collect()) for k in (40, class_lm.KNOWN)]
-    assert some[0] == some[1]
-
-
-def test_class_lm_is_a_distribution(docs):
-    model, counts = class_lm.fit(docs, F.lit(True))
-    assert np.allclose((10**model.transition).sum(1), 1)
-    by_class = defaultdict(float)
-    for word, i in model.known.items():
-        by_class[int(model.of[i])] += 10 ** model.emission[i]
-        assert model.of[i] <= class_lm.CLASSES or model.of[i] == class_lm.tail_class(word)
-    assert all(p <= 1 + 1e-9 for p in by_class.values())
-    assert sum(10 ** model.emission[i] for i in model.known.values() if model.of[i] == class_lm.CLASSES) == pytest.approx(1)
+    # Every training word has a class; the scores follow from classes and counts alone.
+    m, k = got.model, class_lm.K
+    rest = {r["word"].decode(): (r["n"], r["class"]) for r in got.words.collect()}
+    at_hand = {w.decode(): (int(c), int(o)) for w, c, o in zip(m.known, m.counts, m.of, strict=True)}
+    assert len(rest) + len(at_hand) == v and {w: c for w, (c, _) in (rest | at_hand).items()} == dict(seen)
+    of = {w: o for w, (_, o) in (rest | at_hand).items()}
+    assert of.pop("") == class_lm.END_CLASS and all(0 <= o < class_lm.CLASSES for o in of.values())
+    of[""] = class_lm.END_CLASS
+    new = lambda w: int(m.endings[class_lm.ending([w.encode()], class_lm.ENDINGS)[0]])
+    table, size, once = np.zeros((k, k)), np.zeros(k), np.zeros(k)
+    for (i, *_), ws in zip(ROWS, tokens, strict=True):
+        if (i or 0) % 5:
+            for a, b in itertools.pairwise(["", *ws]):
+                table[of[a], of[b]] += 1
+                size[of[b]] += 1
+    for w, c in seen.items():
+        once[of[w]] += c == 1 and w != ""
+    share = (table.sum(0) + 1) / (table.sum() + k)
+    jump = (table + class_lm.SMOOTHING * share) / (table.sum(1, keepdims=True) + class_lm.SMOOTHING)
+
+    def emission(w):
+        if w == "":
+            return 1.0
+        c = of.get(w, new(w))
+        return (seen[w] if w in seen else once[c] + 1) / (size[c] + once[c] + 1)
+
+    plain = sorted((str(i), round(sum(math.log10(jump[of.get(a, new(a)), of.get(b, new(b))] * emission(b)) for a, b in itertools.pairwise(["", *ws])), 5)) for (i, *_), ws in zip(ROWS, tokens, strict=True))
+    told = sorted((str(r["doc_id"]), round(r["score"], 5)) for r in scored)
+    assert [i for i, _ in told] == [i for i, _ in plain] and np.allclose([x for _, x in told], [x for _, x in plain], atol=1e-4)
+
+
+def test_class_lm_at_the_edges(docs, empty):
+    assert class_lm.fit_and_score(empty, F.lit(True)).docs.count() == 0
+    none = class_lm.fit_and_score(docs, F.lit(False)).docs.collect()
+    assert len(none) == len(ROWS) and all(r["train_tokens"] == r["n_known"] == 0 and r["base_score"] == 0 and r["score"] <= 0 for r in none)
+
+
+def test_class_lm_in_small_chunks_and_caches(docs, monkeypatch):
+    scores = lambda: sorted((str(r["doc_id"]), round(r["score"], 6)) for r in class_lm.fit_and_score(docs, F.lit(True), head=8, known=20).docs.collect())
+    whole = scores()
+    for name, value in (("CHUNK_BYTES", 2000), ("COUNT_WORDS", 15), ("BLOCK", 3), ("CONTEXTS", 50)):
+        monkeypatch.setattr(class_lm, name, value)
+    assert scores() == whole
+
+
+def test_frequent_words_of_equal_counts(spark):
+    counts = spark.createDataFrame([(f"w{i}".encode(), 7 if i < 100 else 9 if i < 110 else 2) for i in range(400)], "word binary, n long")
+    assert len(class_lm.frequent(counts, 65)) == pytest.approx(65, abs=2) and {n for _, n in class_lm.frequent(counts, 65)} == {7, 9}
+    assert len(class_lm.frequent(counts, 110)) == 110 and len(class_lm.frequent(counts, 1000)) == 400 and class_lm.frequent(counts, 0) == []
+
+
+def test_best_classes_raise_the_likelihood_most():
+    table = RNG.poisson(6, (9, 9)).astype(float)
+    words = [RNG.integers(0, 9, (int(n), 2)) for n in (1, 2, 5, 40)]
+
+    def likelihood(t):
+        return class_lm._xlogx(t).sum() - class_lm._xlogx(t.sum(0)).sum() - class_lm._xlogx(t.sum(1)).sum()
+
+    entries = Counter((i, c) for i, w in enumerate(words) for a, b in w.tolist() for c in (a, 9 + b))
+    keys = sorted(entries)
+    got = class_lm.best_classes(np.array([k[0] for k in keys]), np.array([k[1] for k in keys]), np.array([entries[k] for k in keys]), 4, table, 6)
+    for w, best in zip(words, got.tolist(), strict=True):
+        worth = []
+        for j in range(6):  # as best_classes has it: rows and columns apart, each against the table at hand
+            rows, cols = table.copy(), table.copy()
+            for a, b in w.tolist():
+                cols[a, j] += 1
+                rows[j, b] += 1
+            worth.append(sum((class_lm._xlogx(t) - class_lm._xlogx(table)).sum() for t in (rows, cols)) - sum(class_lm._xlogx(m[j] + len(w)) - class_lm._xlogx(m[j]) for m in (table.sum(0), table.sum(1))))
+        assert worth[best] == pytest.approx(max(worth))
 
 
 def test_exchange_never_lowers_the_likelihood():
@@ -446,7 +500,7 @@ def test_outputs_replace_columns_of_their_names(docs):
     model = langid.train(clash, F.lit(True))
     for df in (
         langid.identify(clash, model), langid.identify(clash, None), quality_rules.cascade(clash, report=quality_rules.BASE), licenses.scan(clash), mixing.curriculum(clash), html_extract.extract(clash, "text"),
-        exact_dedup.exact_groups(clash), simhash.simhash_groups(clash), class_lm.score(clash, *class_lm.fit(clash, F.lit(True))), resampling.classify(clash, clash.select("doc_id", F.lit(1).alias("quality"))),
+        exact_dedup.exact_groups(clash), simhash.simhash_groups(clash), class_lm.fit_and_score(clash, F.lit(True)).docs, resampling.classify(clash, clash.select("doc_id", F.lit(1).alias("quality"))),
     ):
         assert len({c.lower() for c in df.columns}) == len(df.columns) and len(df.collect()) == n
     got = quality_rules.cascade(clash, report=quality_rules.BASE).first()
