@@ -259,8 +259,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def one_of_each(docs: DataFrame, grouped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each group the row of docs with the smallest id (null last), then text key; of equal rows one.
 
-    grouped has doc_id, key (of the text) and group for every row of docs. Rows go by id and text together, so a row is
-    judged by its own group even where its id repeats in another.
+    grouped has doc_id, key (of the text) and group for every row of docs that isn't alone in its group. Rows go by id and
+    text together, so a row is judged by its own group even where its id repeats in another.
     """
     pairs = written(grouped.groupBy("doc_id", "key", "group").agg(F.count("*").alias("n")), "group-rows")
     firsts = written(pairs.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")).select(F.col("group").alias("group2"), "first"), "group-firsts")
@@ -281,5 +281,8 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of docs that stay: of each component the one with the smallest id, as one_of_each() has it."""
     fps = written(fingerprints(docs, id_col, text_col, width), "simhash-fp")
     _, roots = _roots(fps, radius)
-    grouped = fps.join(roots, F.col("fp") == F.col("node"), "left").select("doc_id", "key", F.coalesce("root", "fp").alias("group"))
+    several = fps.groupBy("fp").agg(F.count("*").alias("n")).join(roots, F.col("fp") == F.col("node"), "left").filter("n > 1 or root is not null")
+    # Written, so that both sides of the join are plain exchanges, which adaptive execution can split at a hot fingerprint.
+    judged = written(several.select(F.col("fp").alias("fp2"), F.coalesce("root", "fp").alias("group")), "simhash-judged")
+    grouped = fps.join(judged, F.col("fp") == F.col("fp2")).select("doc_id", "key", "group")
     return one_of_each(docs, grouped, id_col, text_col)
