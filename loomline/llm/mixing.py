@@ -10,7 +10,8 @@ source's words, and the excess is shared again by weight until none is above. Wh
 repeat only for the head of the queue, up to the one document in which the target falls: of that one only the words
 missing to the target are counted, so each source's sum is its target rounded.
 
-Running sums use two levels (bucket sums, then the rows of one bucket), so no source, however hot, meets in one task.
+Running sums use two levels (bucket sums, then the rows of one bucket), so no source, however hot, meets in one task;
+so do the sums over sources where there are more than ``BROADCAST_SOURCES``.
 Null or wordless text has size 0 and gives nothing. Null sources form one source, last. Rows that repeat an id are
 documents of their own. Order depends on ids, texts' sizes and sources only, so reruns agree. An empty table gives an
 empty result.
@@ -31,32 +32,42 @@ MOST_REPEATS = 2
 SLOPES = (0.5, 0.0, -0.5)
 #: What the operator adds to the columns it keeps.
 OUTPUTS = ("size", "source_size", "target", "taken", "copies", "position", "last_position")
-#: A table of sources of at most this many rows is broadcast.
+#: A table of sources of at most this many rows is broadcast, and goes through one task.
 BROADCAST_SOURCES = 100_000
 
 
+def running(rows: DataFrame, order: list[Column], sums: dict[str, str], several: bool) -> DataFrame:
+    """rows with, by name, the sum of a column over the rows before in this order (0 for the first).
+
+    several: the rows are dealt to tasks by range and sums run on two levels; else (few rows) one task has all.
+    """
+    if not several:
+        before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumns({name: F.coalesce(F.sum(c).over(before), F.lit(0)) for name, c in sums.items()})
+    dealt = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "mix-running")
+    before = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    of_part = Window.orderBy("_part2").rowsBetween(Window.unboundedPreceding, -1)  # a row per task
+    bases = dealt.groupBy(F.col("_part").alias("_part2")).agg(*[F.sum(c).alias(f"_{name}") for name, c in sums.items()]).select("_part2", *[F.coalesce(F.sum(f"_{name}").over(of_part), F.lit(0)).alias(f"_{name}") for name in sums])
+    met = dealt.join(F.broadcast(bases), F.col("_part") == F.col("_part2"))
+    return met.withColumns({name: F.coalesce(F.sum(c).over(before), F.lit(0)) + F.col(f"_{name}") for name, c in sums.items()}).drop("_part", "_part2", *[f"_{name}" for name in sums])
+
+
 def source_targets(sizes: DataFrame, source: str, size: str, weights=WEIGHTS, share: float = SHARE, most_repeats: float = MOST_REPEATS, slopes=SLOPES) -> DataFrame:
     """One row per source: src, source_size, target, slope. sizes has a row per document."""
-    sums = sizes.groupBy(F.col(source).alias("src")).agg(F.sum(size).alias("source_size"))
-    by_name = Window.orderBy(F.col("src").asc_nulls_last())
-    at = F.row_number().over(by_name) - 1
-    listed = sums.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (at % len(weights) + 1).cast("int"))).withColumn(
-        "slope", F.element_at(F.array(*[F.lit(float(s)) for s in slopes]), (at % len(slopes) + 1).cast("int"))
-    )
+    sums = written(sizes.groupBy(F.col(source).alias("src")).agg(F.sum(size).alias("source_size"), F.lit(1).alias("one")), "mix-sources")
+    several = sums.count() > BROADCAST_SOURCES
+    by_name = F.col("src").asc_nulls_last()
+    pick = lambda values: F.element_at(F.array(*[F.lit(float(x)) for x in values]), (F.col("at") % len(values) + 1).cast("int"))
+    listed = running(sums, [by_name], {"at": "one"}, several).withColumn("weight", pick(weights)).withColumn("slope", pick(slopes))
     # Sources are capped in order of most_repeats * size / weight. With the first k capped, the others get `level` for
     # each unit of weight; a source is capped if the level of its own place reaches its ratio.
-    full = F.col("source_size") * float(most_repeats)
-    order = Window.orderBy("ratio", F.col("src").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    placed = (
-        listed.withColumn("full", full)
-        .withColumn("ratio", F.col("full") / F.col("weight"))
-        .withColumn("level", (F.sum("source_size").over(every) * float(share) - F.coalesce(F.sum("full").over(before), F.lit(0.0))) / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
-        .withColumn("capped", F.col("level") >= F.col("ratio"))
-    )
+    listed = written(listed.withColumn("full", F.col("source_size") * float(most_repeats)).withColumn("ratio", F.col("full") / F.col("weight")), "mix-listed")
+    all_size, all_weight = listed.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    placed = running(listed, [F.col("ratio"), by_name], {"full_before": "full", "weight_before": "weight"}, several)
+    placed = placed.withColumn("level", (F.lit(float(all_size) * float(share)) - F.col("full_before")) / (F.lit(float(all_weight)) - F.col("weight_before"))).withColumn("capped", F.col("level") >= F.col("ratio"))
+    placed = written(placed, "mix-levels")
     # Levels fall after the first source that isn't capped; its level is the one.
-    level = F.max(F.when(~F.col("capped"), F.col("level"))).over(every)
+    level = F.lit(placed.agg(F.max(F.when(~F.col("capped"), F.col("level")))).first()[0]).cast("double")
     return placed.withColumn("target", F.when(F.col("capped"), F.col("full")).otherwise(F.least(F.col("full"), F.col("weight") * level))).select("src", "source_size", "target", "slope")
 
 
@@ -76,13 +87,15 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     keep = without_outputs(docs.columns if keep is None else keep, (prefix + c for c in OUTPUTS))
     size, src, key, bucket, ahead, got, base, s_size, target, slope, src2, b2, times = (clear_name(docs, x) for x in ("size", "src", "key", "bucket", "ahead", "got", "base", "s_size", "target", "slope", "src2", "b2", "times"))
-    marked = docs.withColumn(size, n_words(F.col(text_col)).cast("long")).withColumn(key, F.xxhash64(F.col(id_col), F.col(size)))
+    # 60 bits of a hash; the queue runs in its order, and its first bits are the bucket.
+    digest = F.md5(F.concat_ws(",", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(size).cast("string")))
+    marked = docs.withColumn(size, n_words(F.col(text_col)).cast("long")).withColumn(key, F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
     slim = written(marked.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(key).alias("key"), F.col(size).alias("size")), "mix-sizes")
     rows = slim.count()
     buckets = 16
     while buckets * buckets < rows:  # as many buckets as a bucket has rows, so that neither level is long
         buckets *= 2
-    in_bucket = lambda k: F.shiftrightunsigned(k, 20).bitwiseAND(F.lit(buckets - 1))
+    in_bucket = lambda k: F.shiftright(k, 61 - buckets.bit_length())
     targets = written(source_targets(slim, "source", "size", **options), "mix-targets")
     small = targets.count() <= BROADCAST_SOURCES
     hint = F.broadcast if small else (lambda x: x)

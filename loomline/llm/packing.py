@@ -4,16 +4,17 @@ Documents are tokenized word by word (the tokenizer drops white space, so a text
 each distinct word of a chunk is encoded once), closed with an end id and cut into pieces of at most ``capacity`` ids.
 Only the counts of each length, a table of ``capacity`` numbers whatever the input, go to the driver, which plans:
 
-1. Index the sums of single lengths, pairs and triples that still have pieces. For lengths in falling order, fill the
-   gap exactly with one, two or three pieces, as often as the available counts allow.
+1. Index the lengths and the sums of all pairs of lengths. For lengths in falling order, look up what fills the gap
+   exactly: the length itself, the pairs of that sum, then the triples (for each single length, the pairs of the rest),
+   and consume each combination as often as the available counts allow.
 2. Pack what is left by best fit: the length in hand goes to the open sequences with the smallest gap that takes it.
 
 A plan is a list of runs: "the pieces of length l with ranks r, r + 1, ... go to sequences s, s + 1, ... at offset o";
-there are a few for each length. Ranks come from the counts of the chunks before and the rank within the chunk, so no
-length, however common, meets in one task, and no text or id shuffles.
+there are a few for each length. Ranks come from the counts of the tasks before, summed on two levels, and the rank within
+the task, so no length, however common, meets in one task, and no text or id shuffles.
 
 Null text is empty: a document of the end id alone. Rows that repeat an id are documents of their own. Very long texts
-are tokenized whole. An empty table gives an empty result.
+are tokenized whole. Other columns are left out, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ END_ID = 0
 #: Words whose ids a task remembers, and words encoded at a time.
 CACHE_WORDS = 500_000
 ENCODE_WORDS = 2_000
+#: Tasks (2 to this power) whose counts are summed together.
+GROUP_BITS = 10
 #: A control character: a word of its own with one id.
 SEPARATOR = "\x01"
 
@@ -145,11 +148,12 @@ def token_ids(texts: list[bytes], words: WordIds) -> tuple[np.ndarray, np.ndarra
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, chunk and the piece's rank among those of its length in the chunk."""
+    """doc_id, piece, start, length, ids_crc32, task and the piece's rank among those of its length in the task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer_path)
-        task = TaskContext.get().partitionId() << 32
+        task = TaskContext.get().partitionId()
+        before = np.zeros(capacity + 1, np.int64)  # pieces of each length in the chunks before
         for part, texts in chunks(batches, "text"):
             ids, n = token_ids(texts, words)
             count = -(-n // capacity)
@@ -164,19 +168,36 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             by = length[order]
             new = np.flatnonzero(np.concatenate(([True], by[1:] != by[:-1])))
             rank = np.empty(len(doc), np.int64)
-            rank[order] = np.arange(len(doc)) - np.repeat(new, np.diff(np.append(new, len(doc))))
+            rank[order] = np.arange(len(doc)) - np.repeat(new, np.diff(np.append(new, len(doc)))) + before[by]
+            before += np.bincount(length, minlength=capacity + 1)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(np.full(len(doc), task)), pa.array(rank)], [f.name for f in out]
+                [part.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(np.full(len(doc), task, np.int64)), pa.array(rank)], [f.name for f in out]
             )
-            task += 1
 
-    out = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "chunk", "rank")]])
+    out = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "task", "rank")]])
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).transform(in_arrow, work, out)
 
 
 Run = tuple[int, int, int, int]  # length, first rank, first sequence, offset
 
 
+class PairSums:
+    """The pairs a >= b of some lengths by their sum, up to a bound; the largest a first."""
+
+    def __init__(self, lengths: np.ndarray, most: int):
+        lengths = np.sort(lengths[lengths < most])[::-1]
+        of = [lengths[i:][lengths[i:] <= most - a] for i, a in enumerate(lengths.tolist())]
+        larger = np.repeat(lengths, [len(x) for x in of])
+        sums = larger + np.concatenate([*of, np.empty(0, lengths.dtype)])
+        order = np.argsort(sums, kind="stable")
+        self.larger = larger[order]
+        self.at = np.searchsorted(sums[order], np.arange(most + 2))
+
+    def of(self, total: int) -> np.ndarray:
+        """The larger lengths of the pairs of this sum."""
+        return self.larger[self.at[total] : self.at[total + 1]]
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Run], int]:
     """(runs that place all pieces, number of sequences); counts has the number of pieces of each length."""
     left = np.zeros(capacity + 1, np.int64)
@@ -203,26 +224,26 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Run], i
 
     if left[capacity]:
         open_([capacity], int(left[capacity]))
+    pairs = PairSums(np.flatnonzero(left), capacity)
     for long in range(capacity - 1, 0, -1):
-        if left[long] and (gap := capacity - long) <= long and (n := times([long, gap])):
+        gap = capacity - long
+        if left[long] and gap <= long and (n := times([long, gap])):
             open_([long, gap], n)
-        for fill in (2, 3):
-            if not left[long]:
+        if not left[long]:
+            continue
+        for a in pairs.of(gap).tolist():
+            if a <= long and left[a] and left[gap - a] and (n := times([long, a, gap - a])):
+                open_([long, a, gap - a], n)
+        singles = np.flatnonzero(left[: min(long, gap - 2) + 1])[::-1] if left[long] and gap > 2 else ()
+        for a in singles:
+            rest = gap - int(a)
+            if 3 * a < gap or not left[long]:
                 break
-            tops = np.flatnonzero(left[: min(long, gap) + 1])[::-1]
-            if fill == 2:  # the hash of single lengths answers which pairs close the gap
-                for a in tops.tolist():
-                    if 2 * a >= gap >= a + 1 and left[gap - a] and left[long] and (n := times([long, a, gap - a])):
-                        open_([long, a, gap - a], n)
-            elif len(tops):  # the hash of pair sums answers which triples do
-                for a in tops.tolist():
-                    rest = gap - a
-                    if rest < 2 or 3 * a < gap or not left[long]:
-                        continue
-                    b = tops[(tops <= min(a, rest - 1)) & (2 * tops >= rest)]
-                    for x in b[left[rest - b] > 0].tolist():
-                        if left[long] and (n := times([long, a, x, rest - x])):
-                            open_([long, a, x, rest - x], n)
+            two = pairs.of(rest)
+            two = two[two <= a]
+            for b in two[(left[two] > 0) & (left[rest - two] > 0)].tolist():
+                if left[long] and (n := times([long, int(a), b, rest - b])):
+                    open_([long, int(a), b, rest - b], n)
     gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap: (first sequence, number of sequences)
     free = np.zeros(capacity + 1, bool)
     for length in range(capacity, 0, -1):
@@ -257,15 +278,20 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Run], i
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Each piece with its sequence_id and its offset there."""
     cut = written(pieces(docs, tokenizer_path, id_col, text_col, capacity), "pack-pieces")
-    by_chunk = written(cut.groupBy("length", "chunk").agg(F.count("*").alias("n")), "pack-counts")
-    counts = {r["length"]: r["n"] for r in by_chunk.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
+    by_task = written(cut.groupBy("length", "task").agg(F.count("*").alias("n")), "pack-counts")
+    counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     runs, _ = plan(counts, capacity)
     runs.sort()
     table = np.array(runs, np.int64).reshape(-1, 4)
     shared = docs.sparkSession.sparkContext.broadcast(table)  # a few runs for each length
-    before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = by_chunk.select(F.col("length").alias("length2"), F.col("chunk").alias("chunk2"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = cut.join(bases, (F.col("length") == F.col("length2")) & (F.col("chunk") == F.col("chunk2"))).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("rank"))
+    # Pieces of the length in the tasks before: those of whole groups of tasks, then those in the task's own group.
+    before = lambda *by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    grouped = by_task.withColumn("group", F.shiftright("task", GROUP_BITS))
+    of_groups = grouped.groupBy(F.col("length").alias("length3"), F.col("group").alias("group3")).agg(F.sum("n").alias("n"))
+    of_groups = of_groups.select("length3", "group3", F.coalesce(F.sum("n").over(before("length3", order="group3")), F.lit(0)).alias("far"))
+    within = grouped.withColumn("near", F.coalesce(F.sum("n").over(before("length", "group", order="task")), F.lit(0)))
+    bases = within.join(of_groups, (F.col("length") == F.col("length3")) & (F.col("group") == F.col("group3"))).select(F.col("length").alias("length2"), F.col("task").alias("task2"), (F.col("near") + F.col("far")).alias("base"))
+    ranked = cut.join(bases, (F.col("length") == F.col("length2")) & (F.col("task") == F.col("task2"))).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("rank"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = shared.value

@@ -66,8 +66,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The others rest on XXH64, trained models or a tokenizer, which SQL lacks; tests hold them against brute force."""
+    """op1, op3, op5 and op10 rest on trained models, op8 on XXH64, op9 on a tokenizer, which SQL lacks; tests hold them against brute force."""
     return {
+        "op6_license_scan": licenses.oracle(),
+        "op7_mixing": r"""WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x{20}\x{09}-\x{0D}]+'))::BIGINT AS size FROM documents),
+            r AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s GROUP BY source),
+            l AS (SELECT *, [3::DOUBLE, 1, 2][rank % 3 + 1] AS weight, [0.5::DOUBLE, 0, -0.5][rank % 3 + 1] AS slope, source_size * 2::DOUBLE AS most FROM r),
+            v AS (SELECT *, (sum(source_size) OVER ()::DOUBLE * 1.5::DOUBLE - coalesce(sum(most) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+                FROM l WINDOW before AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+            t AS (SELECT source, source_size, slope, CASE WHEN level >= most / weight THEN most ELSE least(most, weight * max(level) FILTER (NOT level >= most / weight) OVER ()) END AS target FROM v),
+            k AS (SELECT *, ('0x' || left(md5(coalesce(doc_id::VARCHAR, '') || ',' || size), 15))::BIGINT AS key FROM s),
+            q AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead FROM k),
+            g AS (SELECT q.*, source_size, slope, target, round(target)::BIGINT AS goal, CASE WHEN source_size > 0 THEN floor(goal / source_size)::BIGINT ELSE 0 END AS whole FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source),
+            x AS (SELECT *, greatest(0, least(size, goal - whole * source_size - ahead)) AS extra, whole * size + greatest(0, least(size, goal - whole * source_size - ahead)) AS taken FROM g),
+            y AS (SELECT *, CASE WHEN taken > 0 THEN whole + (extra > 0)::INT ELSE 0 END AS copies, ahead + source_size * CASE WHEN extra > 0 THEN whole ELSE greatest(0, whole - 1) END AS last FROM x),
+            z AS (SELECT *, CASE WHEN target > 0 THEN least(1::DOUBLE, ahead / target) ELSE 0 END AS a, CASE WHEN target > 0 THEN least(1::DOUBLE, last / target) ELSE 0 END AS b, 1 - slope AS flat FROM y)
+            SELECT doc_id, size, source_size, target, taken::BIGINT AS taken, copies::INT AS copies,
+                CASE WHEN taken > 0 THEN CASE WHEN slope = 0 OR a = 0 THEN a ELSE (sqrt(flat * flat + 4 * slope * a) - flat) / (2 * slope) END END AS position,
+                CASE WHEN taken > 0 THEN CASE WHEN slope = 0 OR b = 0 THEN b ELSE (sqrt(flat * flat + 4 * slope * b) - flat) / (2 * slope) END END AS last_position FROM z""",
         "op2_exact_dedup": """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
         "op4_quality_rules": r"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x{20}\x{09}-\x{0D}]+') AS w FROM documents),

@@ -173,7 +173,7 @@ def test_components_of_a_chain_and_a_star(spark):
     assert all(got[i] == 0 for i in range(41)) and all(got[i] == 100 for i in range(100, 150)) and len(got) == 91
 
 
-def test_mixing(docs, empty):
+def test_mixing(docs, empty, monkeypatch):
     got = mixing.curriculum(docs, keep=["doc_id", "source"]).collect()
     size = Counter()
     for _, t, _, s in ROWS:
@@ -200,6 +200,8 @@ def test_mixing(docs, empty):
     assert sorted(map(str, got)) == sorted(map(str, mixing.curriculum(docs.repartition(7), keep=["doc_id", "source"]).collect()))
     whole = mixing.mixed(docs)
     assert whole.columns == docs.columns and whole.count() == sum(r["copies"] for r in got)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)  # sums over sources on two levels
+    assert sorted(map(str, got)) == sorted(map(str, mixing.curriculum(docs, keep=["doc_id", "source"]).collect()))
     assert mixing.curriculum(empty).count() == mixing.mixed(empty).count() == 0
 
 
