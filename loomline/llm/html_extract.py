@@ -1,9 +1,11 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is cut into flat blocks at the start and end of block-level elements; inline markup and line breaks stay inside.
-Each block has its word count and link density, those of the blocks before and after it, and flags of the elements
-around it: whether it stands in the article, whether the page has one, whether page furniture holds it, whether it is a
-heading. A CART tree, trained on the small labelled table below, tells content from the rest.
+Each block has its word count and link density, those of the blocks before and after it, and what is known of the elements
+around it: whether it stands in the article, whether the page has one, whether an element for page furniture holds it,
+how much of a name (class, id, role) around it means page furniture, whether it is a heading. A CART tree tells content
+from the rest. It is trained on a small labelled table: the blocks of the pages below, whose texts are given as numbers
+of words and marked as content or not. No element or name decides alone; what they are worth is learned.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by two line feeds.
 Scripts, styles, comments and tags never become text; an unfinished tag at the end is markup. Null html is empty and
@@ -18,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +36,12 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|
 #: Names that say how a wrapper is laid out, not what it is.
 _LAYOUT = re.compile(r"(?<![\w-])(?:has|no|with|without)[-_]+[\w-]+", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_COUNT = re.compile(r"([+-])(\d+)")
 
 #: HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea iframe noembed noframes".split())  # raw text: without an end tag to the page's end
-SKIPPED = frozenset("noscript template svg".split())  # without an end tag, the tag alone
+SKIPPED = frozenset("noscript template svg title".split())  # without an end tag, the tag alone
 KEPT = frozenset("math xmp".split())  # text alone, as content
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math object q rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr".split()
@@ -57,26 +61,57 @@ FURNITURE_NAMES = frozenset(
 FURNITURE_STEMS = ("comment", "advert", "sidebar", "cookie", "newsletter", "breadcrumb", "adsby")
 MAIN_NAMES = frozenset("article main".split())
 
-#: The labelled table: words, link density, words and link density of the block before and of the one after, in the
-#: article, page has an article, in furniture, heading; then 1 for content. Its first part is a rule: on a page with an
-#: article, what stands in it is content, whatever the length and the neighbours, unless furniture holds it.
-LABELLED = tuple(
-    (words, density, *before, *after, main, 1, furniture, heading, int(main and not furniture))
-    for words, density in ((1, 0.0), (2, 1.0), (9, 0.0), (30, 0.4), (120, 0.0))
-    for before, after in (((0, 0.0), (9, 0.0)), ((3, 1.0), (60, 0.0)), ((60, 0.0), (3, 1.0)))
-    for main, furniture, heading in ((1, 0, 0), (1, 0, 1), (1, 1, 0), (0, 0, 0), (0, 1, 0))
-) + (
-    # pages without an article: length, links and neighbours decide
-    (80, 0.0, 60, 0.0, 70, 0.0, 0, 0, 0, 0, 1), (30, 0.0, 80, 0.0, 40, 0.0, 0, 0, 0, 0, 1), (18, 0.1, 40, 0.0, 30, 0.0, 0, 0, 0, 0, 1),
-    (4, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0, 1), (1, 0.0, 45, 0.0, 60, 0.0, 0, 0, 0, 0, 1), (7, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 1, 1),
-    (6, 0.0, 70, 0.0, 45, 0.0, 0, 0, 0, 1, 1), (50, 0.2, 3, 1.0, 40, 0.0, 0, 0, 0, 0, 1), (25, 0.1, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
-    (12, 0.0, 30, 0.0, 2, 1.0, 0, 0, 0, 0, 1), (200, 0.1, 4, 0.0, 3, 0.9, 0, 0, 0, 0, 1), (10, 0.0, 7, 0.0, 12, 0.0, 0, 0, 0, 0, 1),
-    (2, 0.0, 30, 0.0, 40, 0.0, 0, 0, 0, 0, 1), (3, 0.0, 90, 0.0, 25, 0.0, 0, 0, 0, 0, 1), (2, 0.0, 8, 0.0, 70, 0.1, 0, 0, 0, 1, 1),
-    (3, 1.0, 3, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 40, 0.0, 0, 0, 0, 0, 0), (2, 1.0, 60, 0.0, 2, 1.0, 0, 0, 0, 0, 0),
-    (15, 0.8, 4, 1.0, 12, 0.7, 0, 0, 0, 0, 0), (25, 0.7, 9, 0.6, 20, 0.8, 0, 0, 0, 0, 0), (8, 0.6, 6, 0.5, 3, 1.0, 0, 0, 0, 0, 0),
-    (2, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (3, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0, 1, 0), (5, 0.3, 2, 1.0, 0, 0.0, 0, 0, 0, 0, 0),
-    (40, 0.0, 60, 0.0, 50, 0.0, 0, 0, 1, 0, 0), (9, 0.0, 60, 0.0, 0, 0.0, 0, 0, 1, 0, 0), (3, 1.0, 0, 0.0, 3, 1.0, 0, 0, 1, 0, 0),
-    (12, 0.0, 0, 0.0, 40, 0.0, 0, 0, 1, 1, 0), (100, 0.0, 20, 0.0, 30, 0.0, 0, 0, 1, 0, 0), (1, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1, 0, 0),
+#: Words of a name that say nothing of what the element holds.
+NEUTRAL_NAMES = frozenset(
+    """area bar block blocks body bottom box btn button buttons card cell col column container content count desktop div el element entry global group holder hot icon icons id inline inner
+    item items js large layer left link links list main message middle mobile module new outer page panel part placeholder post posts primary region right row secondary section separator
+    site slot small stories tablet text title top unit view wrap wrapper zone user users reader readers visitor recent popular latest sticky fixed""".split()
+)
+#: The labelled pages: +n are n words of content, -n are n words of the rest.
+PAGES = (
+    # articles among the furniture of a site
+    "<header><a>-2</a><h2>-3</h2></header><nav><ul><li><a>-1</a><li><a>-2</a><li><a>-1</a></ul></nav><article><h1>+8</h1><p>+60<p>+3<p>+110<p>+1<p>+25</article><aside><h3>-2</h3><p>-40<a>-6</a></aside><footer>-12 <a>-2</a></footer>",
+    "<nav><a>-1</a><a>-1</a></nav><div class=ad>-9</div><article><h1>+6</h1><p>+1<p>+2<p>+1</article><footer>-14</footer>",
+    "<nav><li><a>-4</a><li><a>-1</a></nav><article><p>+1</article><footer>-5</footer>",
+    "<main><h1>+5</h1><p>+14<blockquote>+30</blockquote><p>+70<ul><li>+6<li>+2<li>+9</ul><table><tr><td>+1<td>+2<td>+4</table></main><aside>-80</aside>",
+    # link bars within an article; links that belong to its text
+    "<article><h1>+7</h1><ul><li><a>-1</a><li><a>-1</a><li><a>-2</a></ul><p>+45<p>+30<ul><li><a>-5</a><li><a>-7</a><li><a>-4</a></ul></article>",
+    "<article><p>+90<div><a>-1</a></div><div><a>-2</a></div><div><a>-1</a></div><p>+40<p>+2</article>",
+    "<article><p>+35<ul><li><a>-9</a><li><a>-12</a><li><a>-8</a><li><a>-15</a></ul></article><footer>-9</footer>",
+    "<article><h2><a>+6</a></h2><p>+50<p><a>+8</a><p>+65<p>+20 <a>+9</a><p>+30<h3><a>+3</a></h3><p>+10</article>",
+    "<article><p>+28<p><a>+2</a><p>+44<ol><li>+9 <a>+7</a><li>+12 <a>+6</a><li>+8 <a>+5</a></ol></article>",
+    "<article><h1><a>+9</a></h1><p>+5 <a>+4</a><p>+80</article>",
+    "<main><p>+22<p><a>-1</a> <a>-1</a> <a>-2</a><p><a>-3</a><p><a>-2</a></main>",
+    "<article><p>+15<p><a>+5</a><p>+12<p>+9<p><a>+1</a><p>+30<p>+4</article>",
+    "<article><h1>+3</h1><p><a>+4</a><p>+8<p><a>+3</a><p>+20<p>+2<p><a>+11</a></article><footer>-3</footer>",
+    "<article><p><a>+2</a><p>+6</article>",
+    "<article><p>+90<p><a>+6</a><p>+75<p><a>+20</a><p>+120<p><a>+1</a><p>+64</article>",
+    "<article><p><a>+12</a></article>",
+    "<article><ul><li><a>-2</a><li><a>-1</a></ul><p>+3<p>+7<p><a>-1</a><p><a>-1</a></article>",
+    # what stands beside an article
+    "<p>-12<div>-50</div><article><h1>+5</h1><p>+30<p>+60</article><div><h3>-4</h3><p>-35<p>-70<p>-2</div>",
+    "<div>-1</div><h2>-5</h2><article><p>+1<p>+20</article><p>-100<p>-8 <a>-3</a><div>-25</div>",
+    "<main><p>+40<p>+8</main><div><p>-60<p>-15</div><p>-5",
+    # furniture within an article
+    "<article><h1>+5</h1><p>+40<div class=ad>-6</div><p>+50<aside>-30</aside><p>+9<form><p>-8<input></form><section class=comments><h3>-2</h3><p>-60<p>-25<p>-4</section></article>",
+    "<article><p>+70<div class=share-buttons><a>-1</a><a>-1</a></div><div class=newsletter-signup><p>-24</div><p>+33<div id=comment-list><p>-90<p>-12</div><footer>-7</footer></article>",
+    "<article><p>+12<div class=advert><p>-2</div><p>+5<div class=cookie-notice>-18</div><p>+20<div class=related-posts><h4>-2</h4><p>-11<p>-13</div></article>",
+    "<article><div class=banner>-3</div><p>+25<div role=alert>-1</div><p>+1<div class=sponsored>-120</div><p>+3</article><div class=comments><p>-100<p>-30</div>",
+    # names of which only a part means furniture
+    "<article><h1>+4</h1><div class=social-policy-report><p>+50<p>+4</div><section id=related-work><p>+80<p>+30<p>+2</section><p>+15</article><div class=related>-20</div>",
+    "<article><p class=legal-history>+45<p>+6<div id=search-theory><h2>+3</h2><p>+28<p>+1</div><figure class=header-image><figcaption>+9</figcaption></figure></article>",
+    "<div><h1>+6</h1><section class=notice-period><p>+40<p>+60</section><section class=advertising-history><p>+75<p>+22</section></div><div class=sidebar><p>-12</div>",
+    # pages without an article
+    "<div><a>-1</a></div><div><a>-2</a></div><div><h1>+6</h1><p>+80<p>+30<p>+4<p>+60<p>+1<p>+45</div><div><a>-3</a></div><div><a>-2</a></div><p>-4",
+    "<ul><li><a>-1</a><li><a>-1</a><li><a>-3</a></ul><h1>+7</h1><p>+18 <a>+2</a><p>+40<p>+25 <a>+3</a><h2>+2</h2><p>+12<p>+30<p>+100<ul><li><a>-4</a><li><a>-6</a></ul><p>-3",
+    "<p>-2<p><a>-1</a><p><a>-2</a><p>+200 <a>+6</a><p>+50<p>+10<p>+70<p><a>-2</a><p>-3<p><a>-1</a>",
+    "<div>-2</div><div><a>-2</a></div><h3>-3</h3><div><a>-2</a></div><div>-5 <a>-2</a></div><p>+25 <a>+3</a>",
+    "<table><tr><td><a>-2</a><td><a>-1</a></table><p>+30<p>+8<p>+7<p>+12<p>+10<p>+2<p>+40<p>-12 <a>-9</a><p><a>-15</a><p>-9 <a>-16</a>",
+    "<nav><a>-1</a></nav><header><h1>-4</h1></header><p>+55<p>+3<p>+30<div class=ad><p>-40</div><p>+60<footer><p>-9</footer><div class=comments><p>-50<p>-8<p>-30</div>",
+    "<div><a>-1</a> <a>-1</a></div><div><h1>+2</h1><p>+70<p>+12</div><div><a>-2</a></div>",
+    "<h3>-2</h3><ul><li><a>-2</a><li><a>-1</a></ul><h1>+1</h1><p>+40<p>+30<h2>+1</h2><p>+50<p>+9<h3>-3</h3><ul><li><a>-4</a><li><a>-3</a></ul>",
+    "<p>+25<p>+18<p>+31",
+    "<h1>+5</h1><p>+12",
 )
 
 
@@ -88,19 +123,31 @@ class Block:
     main: bool
     furniture: bool
     heading: bool
-    named: tuple[int, ...] = ()
+    named: tuple[tuple[int, float], ...] = ()
+    share: float = 0.0
+
 
+def _names(attributes: str) -> tuple[set[str], float]:
+    """(the words of class, id and role; the share of furniture words in the name that has most of them).
 
-def _names(attributes: str) -> set[str]:
-    """The words of class, id and role; a name that begins with a stem of page furniture counts as that."""
-    found = {p.lower() for m in _NAMES.finditer(attributes) for p in _PARTS.findall(_LAYOUT.sub(" ", m[1]))}
-    return found | {"aside" for n in found if n.startswith(FURNITURE_STEMS) and not n.startswith("commentar")}
+    Words that say nothing don't count, nor do names of layout. A word that begins with a stem counts as furniture.
+    """
+    found: set[str] = set()
+    share = 0.0
+    for m in _NAMES.finditer(attributes):
+        for name in _LAYOUT.sub(" ", m[1]).strip("\"'").split():
+            words = [w.lower() for w in _PARTS.findall(name)]
+            known = [w in FURNITURE_NAMES or (w.startswith(FURNITURE_STEMS) and not w.startswith("commentar")) for w in words]
+            if any(known):
+                share = max(share, sum(known) / sum(k or w not in NEUTRAL_NAMES for w, k in zip(words, known, strict=True)))
+            found.update(words)
+    return found, share
 
 
 def blocks(page: str) -> tuple[list[Block], bool]:
     """(flat text blocks in page order, whether the page has an article)."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []  # tag, article, furniture, link, wrappers with names of furniture: with those around
+    stack: list[tuple[str, bool, bool, bool, tuple]] = []  # tag, article, furniture, link, wrappers with names of furniture (number, share): with those around
     wrappers, articles = 0, []  # articles: the wrappers around each
     parts: list[tuple[str, bool]] = []
     heading, at = False, 0
@@ -168,17 +215,17 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                 if stack[k][0] not in INLINE:
                     break
         main, furniture, link, named = stack[-1][1:] if stack else (False, False, False, ())
-        names = _names(attributes) if attributes and tag not in ("html", "body") else set()
-        is_main = tag in MAIN or bool(names & MAIN_NAMES and tag not in INLINE and not names & FURNITURE_NAMES)
+        names, share = _names(attributes) if attributes and tag not in ("html", "body") else (set(), 0.0)
+        is_main = tag in MAIN or bool(names & MAIN_NAMES and tag not in INLINE and not share)
         if tag in HEADINGS:
             heading = True
         if is_main and not furniture:
             articles.append(named)
         # The title's own wrapper inside an article is not page furniture.
         own = (tag in FURNITURE and not (tag == "header" and main)) or bool(attributes and _HIDDEN.search(attributes))
-        if names & FURNITURE_NAMES and tag not in MAIN and not (main and names & {"header"} and len(names & FURNITURE_NAMES) == 1):
+        if share and tag not in MAIN and not (main and names & {"header"} and len(names & FURNITURE_NAMES) == 1):
             wrappers += 1
-            named = (*named, wrappers)
+            named = (*named, (wrappers, share))
         if tag == "label" or tag == "input":
             close()
         if not (attributes.endswith("/") and tag in INLINE):
@@ -188,34 +235,46 @@ def blocks(page: str) -> tuple[list[Block], bool]:
     return found, _judge(found, articles)
 
 
-def _judge(found: list[Block], articles: list[tuple[int, ...]]) -> bool:
-    """Settles which named wrappers are furniture; whether the page has an article outside of that.
+def _judge(found: list[Block], articles: list[tuple]) -> bool:
+    """Settles the named share of each block; whether the page has an article outside of wrappers with such names.
 
-    A name is no verdict on a wrapper around the page's only articles, or, on a page without any, around over half of
+    A name says nothing on a wrapper around the page's only articles, or, on a page without any, around over half of
     its words outside of links and furniture elements.
     """
     cleared: set[int] = set()
     if articles and all(articles):
-        cleared = {w for around in articles for w in around}
+        cleared = {w for around in articles for w, _ in around}
     elif not articles:
         words: Counter = Counter()
         for b in found:
             if not b.furniture:
-                words.update(dict.fromkeys((0, *b.named), b.words - b.linked))
+                words.update(dict.fromkeys((0, *(w for w, _ in b.named)), b.words - b.linked))
         cleared = {w for w, n in words.items() if 2 * n > words[0]}
     for b in found:
-        b.furniture = b.furniture or not cleared.issuperset(b.named)
-    return any(cleared.issuperset(around) for around in articles)
+        b.share = max((share for w, share in b.named if w not in cleared), default=0.0)
+    return any(all(w in cleared or share < 1 for w, share in around) for around in articles)
+
+
+FEATURES = ("words", "density", "words before", "density before", "words after", "density after", "in the article", "page has an article", "furniture element", "furniture name", "heading")
 
 
 def features(found: list[Block], has_main: bool) -> np.ndarray:
     if not found:
-        return np.zeros((0, 10))
+        return np.zeros((0, len(FEATURES)))
     words = np.array([b.words for b in found], np.float64)
     density = np.array([b.linked for b in found]) / words
     around = lambda x, k: np.concatenate(([0.0], x[:-1])) if k < 0 else np.concatenate((x[1:], [0.0]))
-    flags = np.array([[b.main, has_main, b.furniture, b.heading] for b in found], np.float64)
-    return np.column_stack((words, density, around(words, -1), around(density, -1), around(words, 1), around(density, 1), flags))
+    marks = np.array([[b.main, has_main, b.furniture, b.share, b.heading] for b in found], np.float64)
+    return np.column_stack((words, density, around(words, -1), around(density, -1), around(words, 1), around(density, 1), marks))
+
+
+def labelled(pages=PAGES) -> np.ndarray:
+    """The labelled table: a row for each block of the pages, features and then 1 for content."""
+    rows = []
+    for page in pages:
+        found, has_main = blocks(_COUNT.sub(lambda m: " " + ("y " if m[1] == "+" else "n ") * int(m[2]), page))
+        rows.append(np.column_stack((features(found, has_main), [b.text[0] == "y" for b in found])))
+    return np.concatenate(rows)
 
 
 class Tree:
@@ -252,8 +311,9 @@ def _gini(y: np.ndarray) -> float:
     return 2 * p * (1 - p)
 
 
-def trained(table=LABELLED) -> Tree:
-    rows = np.array(table, np.float64)
+@cache
+def trained(pages=PAGES) -> Tree:
+    rows = labelled(pages)
     return Tree(rows[:, :-1], rows[:, -1])
 
 
@@ -263,11 +323,11 @@ def main_text(page: str, tree: Tree) -> str:
     return "\n\n".join(b.text for b, c in zip(found, content, strict=True) if c)
 
 
-def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None, table=LABELLED) -> DataFrame:
+def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None, labelled_pages=PAGES) -> DataFrame:
     """The columns in keep (default: all but the html) with text and n_chars, which replace columns of these names."""
     keep = without_outputs([c for c in pages.columns if c != html_col] if keep is None else keep, ("text", "n_chars"))
     held = clear_name(pages, "html")
-    tree = trained(table)
+    tree = trained(labelled_pages)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, held):

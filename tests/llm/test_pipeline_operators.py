@@ -468,8 +468,18 @@ def test_html_decodes(spark):
 
 
 def test_tree_fits_its_table():
-    rows = np.array(html_extract.LABELLED, float)
+    rows = html_extract.labelled()
     assert (html_extract.trained().predict(rows[:, :-1]) == rows[:, -1]).mean() > 0.97
+    used = set()
+
+    def walk(tree):
+        if tree.feature is not None:
+            used.add(html_extract.FEATURES[tree.feature])
+            walk(tree.low)
+            walk(tree.high)
+
+    walk(html_extract.trained())
+    assert len(used & set(html_extract.FEATURES[:6])) >= 5
 
 
 def test_resampling(docs, empty, spark):
