@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loomline.functions import text as X
 from loomline.functions.vectors import dot, sketch
 from loomline.operators.rules import FilterConfig, passes_scale_filter
-from loomline.storage import written
+from loomline.storage import drop, written
 
 
 def keep_first(rows: DataFrame, key: Column, order: str, condition: Column | None = None) -> DataFrame:
@@ -51,12 +51,16 @@ def resolve(buckets: DataFrame, payload: DataFrame | Callable[[DataFrame], DataF
     values as Columns, local as NumPy arrays.
     """
     held = written(buckets.select("bucket", "node").distinct(), "memberships")
-    shared = held.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    left = written(held.join(shared, "bucket", "left_semi"), "buckets")
+    # Buckets of the same members are one: those of a group of copies in all bands, mostly. Equal sizes and two sums of
+    # hashes tell the same members but for a chance of 2 ** -128, and buckets that such a chance merges lose no pair.
+    members = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    shared = held.groupBy("bucket").agg(*members).filter("n > 1").select(F.col("bucket").alias("_b"), F.struct("n", "x", "y").alias("_members"))
+    left = written(held.join(shared, F.col("bucket") == F.col("_b")).select(F.col("_members").alias("bucket"), "node").distinct(), "buckets")
     if callable(payload):
         payload = payload(left.select("node").distinct())
     alone = held.select("node").distinct().join(left.select("node").distinct(), "node", "left_anti")
     done = [alone.select("node", F.lit(None).cast(held.schema["node"].dataType).alias("parent"))]
+    every = left
     while (n := left.count()) > ONE_TASK:
         heads = written(left.groupBy("bucket").agg(F.min("node").alias("leader")), "leaders")
         led = left.join(heads, "bucket").select("node", "leader")
@@ -67,14 +71,17 @@ def resolve(buckets: DataFrame, payload: DataFrame | Callable[[DataFrame], DataF
         alike = pairs.join(a, "node").join(b, "leader").filter(similarity(F.col("a"), F.col("b")) >= threshold)
         dropped = written(alike.groupBy("node").agg(F.min("leader").alias("parent")), "dropped")
         done += [kept, dropped.select("node", "parent")]
-        left = written(left.join(kept.select("node").unionByName(dropped.select("node")), "node", "left_anti"), "buckets")
+        now = written(left.join(kept.select("node").unionByName(dropped.select("node")), "node", "left_anti"), "buckets")
+        drop(*([heads] if left is every else [heads, left]))
+        left = now
     if n:
         done.append(_in_order(left, payload, local, threshold))
-    return written(reduce(DataFrame.unionByName, done), "resolved")
+    told = written(reduce(DataFrame.unionByName, done), "resolved")
+    return told if left is every else first_parents(told, every, payload, similarity, threshold)
 
 
 def first_parents(told: DataFrame, buckets: DataFrame, payload: DataFrame, similarity: Callable, threshold: float) -> DataFrame:
-    """told of resolve(), each parent replaced by the earliest similar kept node over all the dropped node's buckets.
+    """What resolve() found, each parent replaced by the earliest similar kept node over all the dropped node's buckets.
 
     In rounds a node meets leaders that are free by then, perhaps a later one first. Only kept nodes before the parent at
     hand are compared.
@@ -94,12 +101,13 @@ def _in_order(left: DataFrame, payload: DataFrame, local: Callable, threshold: f
     nodes = written(left.groupBy("node").agg(F.collect_list("bucket").alias("buckets")).join(payload.select("node", "value"), "node").select("node", "buckets", "value"), "rest")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_in: dict[int, list[int]] = {}
+        kept_in: dict[tuple, list[int]] = {}
         values: dict[int, np.ndarray] = {}
         told: tuple[list, list] = [], []
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False), strict=True)
             for node, held, value in rows:
+                held = [tuple(b.values()) for b in held]
                 earlier = sorted({k for b in held for k in kept_in.get(b, ())})
                 parent = next((k for k in earlier if local(value, values[k]) >= threshold), None)
                 if parent is None:
@@ -119,12 +127,30 @@ def set_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 0.0
 
 
-def near(docs: DataFrame, text: str = "text", order: str = "doc_id", threshold: float = 0.8, num_perm: int = 128, bands: int = 21, rows: int = 6, shingle: int = 4) -> DataFrame:
+#: The probability with which bands propose a pair at the threshold, at least.
+RECALL = 0.995
+
+
+def banding(threshold: float, num_perm: int, recall: float = RECALL) -> tuple[int, int]:
+    """(bands, rows): the longest rows with which num_perm permutations propose a pair at the threshold with that probability.
+
+    Single rows where none do: a pair is then proposed with probability 1 - (1 - threshold) ** num_perm.
+    """
+    for rows in range(num_perm, 1, -1):
+        if 1 - (1 - threshold**rows) ** (num_perm // rows) >= recall:
+            return num_perm // rows, rows
+    return num_perm, 1
+
+
+def near(docs: DataFrame, text: str = "text", order: str = "doc_id", threshold: float = 0.8, num_perm: int = 128, bands: int | None = None, rows: int | None = None, shingle: int = 4) -> DataFrame:
     """order, parent (the first kept near-duplicate), similarity; null for documents that stay.
 
-    MinHash bands propose, the exact Jaccard similarity of character shingles decides. The default bands propose a pair
-    at the threshold of 0.8 with a probability of 0.998. Texts without characters are never near-duplicates.
+    MinHash bands propose, the exact Jaccard similarity of character shingles decides. Without bands and rows given they
+    follow from threshold and num_perm (banding); those of the defaults, 21 of 6, propose a pair at 0.8 with a probability of 0.998.
+    Texts without characters are never near-duplicates.
     """
+    if bands is None or rows is None:
+        bands, rows = banding(threshold, num_perm)
     sketches = written(docs.select(F.col(order).alias("node"), sketch(num_perm, bands, rows, shingle)(F.col(text)).alias("s")).select("node", "s.shingles", "s.keys"), "sketches")
     # Equal shingle sets meet first by one key, so exact copies never share the bands' buckets.
     same = keep_first(sketches.filter(F.size("shingles") > 0), F.xxhash64(F.col("shingles").cast("string")), "node")
@@ -133,7 +159,6 @@ def near(docs: DataFrame, text: str = "text", order: str = "doc_id", threshold:
 
     buckets, payload = single.select(F.explode("keys").alias("bucket"), "node"), single.select("node", F.col("shingles").alias("value"))
     told = resolve(buckets, payload, X.jaccard, set_jaccard, threshold)
-    told = first_parents(told, buckets, payload, X.jaccard, threshold)
     # A copy of a dropped text is dropped for the same document, a copy of a kept one for that.
     twins = same.filter(F.col("twin").isNotNull()).select("node", "twin").join(told.select(F.col("node").alias("twin"), F.col("parent").alias("up")), "twin").select("node", F.coalesce("up", "twin").alias("parent"))
     found = written(told.filter(F.col("parent").isNotNull()).unionByName(twins), "near-found")
@@ -246,9 +271,10 @@ def _semantic_by_projections(vectors: DataFrame, threshold: float, order: str, v
 def filter_and_dedup(rows: DataFrame, text: str = "text", order: str | None = None, config: FilterConfig = FilterConfig()) -> DataFrame:
     """The bulk job: normalised text, filter, content_hash, first row of each text (lowest order).
 
-    Without an order any one row of a text stays, which needs no join: firsts are aggregated with their columns.
+    What passes is normalised, filtered and hashed once and written; firsts and their join read hashes and orders of
+    that. Without an order any one row of a text stays, which needs no join: firsts are aggregated with their columns.
     """
     tidy = rows.withColumn(text, X.normalize(F.col(text))).filter(passes_scale_filter(F.col(text), config)).withColumn("content_hash", X.content_hash(F.col(text)))
     if order is None:
         return tidy.dropDuplicates(["content_hash"])
-    return keep_first(tidy, F.col("content_hash"), order).filter(F.col("parent").isNull()).drop("parent")
+    return keep_first(written(tidy, "tidy"), F.col("content_hash"), order).filter(F.col("parent").isNull()).drop("parent")

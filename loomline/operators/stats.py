@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,13 +62,35 @@ def quality_report(scored: DataFrame, quality: str = "quality_score") -> DataFra
     return scored.agg(F.count("*").alias("documents"), F.round(F.coalesce(F.avg(quality), F.lit(0.0)), 4).alias("avg_quality"), F.count_if(F.col(quality) < 0.4).alias("low_quality"))
 
 
+def funnel(stats: dict[str, int], kept: int) -> list[tuple[str, int]]:
+    """(stage, documents) of a run: collected, after the filter, after all duplicates, kept in the end."""
+    collected = stats.get("collected", 0)
+    filtered = collected - stats.get("filtered_out", 0)
+    duplicates = sum(stats.get(f"{k}_duplicates_removed", 0) for k in ("exact", "near", "semantic"))
+    return [("collected", collected), ("after filter", filtered), ("after deduplication", filtered - duplicates), ("kept (final)", kept)]
+
+
+def funnel_table(audit: DataFrame, stage: str = "drop_stage") -> DataFrame:
+    """The funnel of an audit table in which kept documents have no stage: stage, documents, in the order of the run."""
+    gone = lambda *names: F.count_if(F.coalesce(F.col(stage), F.lit("")).isin(*names))
+    n = F.count("*")
+    steps = [("collected", n), ("after filter", n - gone("filter")), ("after deduplication", n - gone("filter", "exact", "near", "semantic")), ("kept (final)", F.count_if(F.col(stage).isNull()))]
+    return audit.agg(F.array(*[F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), count.cast("long").alias("documents")) for i, (name, count) in enumerate(steps)]).alias("f")).select(F.explode("f").alias("f")).select("f.*")
+
+
 def dataset_version(docs: DataFrame, config: dict, hash_col: str = "hash") -> str:
     """First 16 hex digits of sha256 over all content hashes in order and the configuration.
 
-    Hashes are sorted by the cluster and fed to the digest partition by partition, so the driver holds one at a time.
+    Hashes are sorted by the cluster and joined there, a few thousand to a row; the driver feeds the rows to the digest
+    one partition at a time, in order.
     """
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(["".join(batch.column(0).to_pylist())], pa.string())], ["h"])
+
     digest = hashlib.sha256()
-    for row in docs.select(F.coalesce(hash_col, F.lit("")).alias("h")).orderBy("h").toLocalIterator():
+    for row in docs.select(F.coalesce(hash_col, F.lit("")).alias("h")).orderBy("h").mapInArrow(joined, "h string").toLocalIterator():
         digest.update(row["h"].encode())
     digest.update(json.dumps(config, sort_keys=True, default=str).encode())
     return digest.hexdigest()[:16]

@@ -1,8 +1,8 @@
 """Readers. Each gives documents in one schema: id, text, language, language_confidence, source, metadata, stages, ord.
 
 ``ord`` is the row's place in its source, counted as the source's own ids are; it is the order of every keep-first
-operator. Files are read by Spark, so any path that Spark opens will do; only live web and API reads need a network,
-and they go through Python data sources the caller provides.
+operator. Files are read by Spark, so any path that Spark opens will do; only live web and API reads need a network:
+executors fetch, and a caller may give the function that does.
 """
 
 from __future__ import annotations
@@ -71,13 +71,28 @@ def read_jsonl(spark: SparkSession, path: str, text_field: str = "text", id_fiel
     return documents(rows, "file", F.col("file"), license, language=F.col("m")["language"], metadata=rest)
 
 
+def place_in_files(found: DataFrame) -> Column:
+    """A row's place in Parquet files, in the order of their names: the file's number times 2^40 plus the row's place in it.
+
+    Reads no column to list the files; the list, a row per file, is a map in the plan.
+    """
+    files = sorted(r["f"] for r in found.select(F.col("_metadata.file_path").alias("f")).distinct().collect())
+    at = F.col("_metadata.row_index")
+    if len(files) > 1:
+        at = at + F.element_at(F.map_from_arrays(F.lit(files), F.lit([i << 40 for i in range(len(files))])), F.col("_metadata.file_path"))
+    return at
+
+
 def read_parquet(spark: SparkSession, path: str, text_field: str = "text", id_field: str = "id", license: str | None = None, order: str | None = None) -> DataFrame:
-    """Only text and id are read. Without an id column ids are the file's name and the row's place."""
+    """Only text and id are read. Without an id column ids are the file's name and the row's place in it."""
     found = spark.read.parquet(path)
-    place = F.col(order).cast("long") if order else F.monotonically_increasing_id()
+    place = F.col(order).cast("long") if order else place_in_files(found)
     given = F.col(id_field).cast("string") if id_field in found.columns else F.lit(None).cast("string")
-    rows = found.select(given.alias("given"), F.col(text_field).cast("string").alias("text"), place.alias("ord"), F.col("_metadata.file_path").alias("file"))
-    rows = rows.filter((F.length("text") > 0) & (F.col("text") != "nan")).withColumn("id", F.coalesce("given", F.concat_ws("-", stem(F.col("file")), "ord")))
+    text = F.col(text_field)
+    if isinstance(found.schema[text_field].dataType, (T.FloatType, T.DoubleType)):
+        text = F.when(~F.isnan(text), text)
+    rows = found.select(given.alias("given"), text.cast("string").alias("text"), place.alias("ord"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    rows = rows.filter(F.length("text") > 0).withColumn("id", F.coalesce("given", F.concat_ws("-", stem(F.col("file")), "row")))
     return documents(rows, "file", F.col("file"), license)
 
 
@@ -153,6 +168,63 @@ def read_pages(pages: DataFrame, url: str = "url", html: str = "html", order: st
     return documents(rows, "web", F.col("_url"), license)
 
 
+def _get(url: str, headers: dict[str, str]) -> tuple[int, str]:
+    """(status, text) of an address; an error status raises."""
+    from urllib.request import Request, urlopen
+
+    with urlopen(Request(url, headers=headers), timeout=30) as answer:
+        return answer.status, answer.read().decode(answer.headers.get_content_charset() or "utf-8", "replace")
+
+
+def fetch_pages(spark: SparkSession, urls: list[str] | DataFrame, delay: float = 1.0, agent: str = "loomline (+research)", get: Callable[[str, dict], tuple[int, str]] = _get) -> DataFrame:
+    """page_id, url, html, status of live pages. The pages of a host are fetched by one task, `delay` seconds apart.
+
+    Written by the caller before it is used twice: a plan over it fetches anew each time.
+    """
+    if not isinstance(urls, DataFrame):
+        urls = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+
+    def fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import time
+
+        for batch in batches:
+            for k, (page, url) in enumerate(zip(batch["page_id"], batch["url"], strict=True)):
+                if k and delay:
+                    time.sleep(delay)
+                status, html = get(url, {"User-Agent": agent})
+                yield pd.DataFrame({"page_id": [page], "url": [url], "html": [html], "status": [status]})
+
+    host = F.expr("parse_url(url, 'HOST')")
+    return urls.select("page_id", "url").repartition(host).sortWithinPartitions(host, "page_id").mapInPandas(fetched, "page_id long, url string, html string, status int")
+
+
+def fetch_api(spark: SparkSession, endpoint: str, max_pages: int = 1, records_path: str = "data", headers: dict[str, str] | None = None, get: Callable[[str, dict], tuple[int, str]] = _get) -> DataFrame:
+    """ord, page, i, record (JSON text) of a paged API: ?page=0, 1, ... up to max_pages or the first empty page.
+
+    An API's pages come one after the other, so one task asks for them; its records stream out page by page.
+    """
+
+    def fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _ in batches:
+            n = 0
+            for page in range(max_pages):
+                payload = json.loads(get(f"{endpoint}{'&' if '?' in endpoint else '?'}page={page}", headers or {})[1])
+                records = payload.get(records_path, payload) if isinstance(payload, dict) else payload
+                if not records:
+                    break
+                yield pd.DataFrame({"ord": range(n, n + len(records)), "page": page, "i": range(len(records)), "record": [json.dumps(r, ensure_ascii=False) for r in records]})
+                n += len(records)
+
+    return spark.range(1).mapInPandas(fetched, "ord long, page int, i long, record string")
+
+
+def read_records(records: DataFrame, endpoint: str, text_field: str = "text", id_field: str = "id", license: str | None = None) -> DataFrame:
+    """Documents from API records in JSON (columns ord, i, record); ids default to the place in the page, other keys are metadata."""
+    parsed = records.withColumn("m", F.from_json("record", "map<string,string>"))
+    rows = parsed.select(F.coalesce(F.col("m")[id_field], F.concat(F.lit("api-"), "i")).alias("id"), F.col("m")[text_field].alias("text"), "ord", F.map_filter("m", lambda k, v: ~k.isin(text_field, id_field)).alias("rest")).filter(F.length("text") > 0)
+    return documents(rows, "api", F.lit(endpoint), license, metadata=F.col("rest"))
+
+
 def read_api(spark: SparkSession, payloads: list[dict | list], endpoint: str = "fixture", text_field: str = "text", id_field: str = "id", records_path: str = "data", license: str | None = None) -> DataFrame:
     """Documents from the pages of an API: lists of records, or mappings that hold one; `language` stays metadata."""
     lines, at = [], 0
@@ -176,27 +248,42 @@ def read_warc_lines(spark: SparkSession, path: str, license: str = "Common Crawl
 
 
 def read_warc(spark: SparkSession, path: str, license: str = "Common Crawl ToU", extract: Callable[[Column], Column] = X.html_text) -> DataFrame:
-    """A document per response record of WARC files (plain or gzip); a file is one task, its records stream out."""
+    """A document per response record of WARC files (plain or gzip); a file is one task, its records stream out.
+
+    A task holds the file as it is stored and one record at a time; gzip members are unpacked while they are read.
+    """
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import gzip
+        import io
+
+        def record(stream) -> tuple[dict, bytes] | None:
+            line = stream.readline()
+            while line and not line.startswith(b"WARC/"):
+                line = stream.readline()
+            if not line:
+                return None
+            head = {}
+            while (line := stream.readline()).strip():
+                name, _, value = line.decode("utf-8", "replace").partition(":")
+                head[name.strip().lower()] = value.strip()
+            return head, stream.read(int(head.get("content-length") or 0))
 
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"], strict=True):
-                data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-                at = number = 0
-                while (at := data.find(b"WARC/", at)) >= 0:
-                    end = data.find(b"\r\n\r\n", at)
-                    if end < 0:
-                        break
-                    head = dict(x.split(": ", 1) for x in data[at:end].decode("utf-8", "replace").split("\r\n")[1:] if ": " in x)
-                    head = {k.lower(): v for k, v in head.items()}
-                    size = int(head.get("content-length", "0"))
-                    body = data[end + 4 : end + 4 + size]
-                    at = end + 4 + size
+                stream = io.BytesIO(content)
+                stream = io.BufferedReader(gzip.GzipFile(fileobj=stream)) if content[:2] == b"\x1f\x8b" else stream
+                number, rows, size = 0, [], 0
+                while found := record(stream):
+                    head, body = found
                     if head.get("warc-type") == "response":
-                        yield pd.DataFrame({"file": [file], "ord": [number], "uri": [head.get("warc-target-uri", "")], "html": [body.partition(b"\r\n\r\n")[2].decode("utf-8", "replace")]})
-                        number += 1
+                        rows.append((file, number, head.get("warc-target-uri", ""), body.partition(b"\r\n\r\n")[2].decode("utf-8", "replace")))
+                        number, size = number + 1, size + len(body)
+                    if size > 8 << 20 or len(rows) >= 500:
+                        yield pd.DataFrame(rows, columns=["file", "ord", "uri", "html"])
+                        rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=["file", "ord", "uri", "html"])
 
     found = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(records, "file string, ord long, uri string, html string")
     rows = found.select(F.concat(F.lit("cc-"), "ord").alias("id"), extract(F.col("html")).alias("text"), "ord", "uri").filter(F.length("text") > 0)
@@ -298,13 +385,18 @@ def read_source(spark: SparkSession, config: dict) -> DataFrame:
             return read_html_folder(spark, config["fixtures_dir"], config.get("license"))
         if "pages" in config:
             return read_pages(spark.read.parquet(config["pages"]), license=config.get("license"))
-        raise ValueError("a live crawl needs a fetched table: give `pages` or `fixtures_dir`")
+        if urls := url_list(spark, config.get("urls"), config.get("urls_file")):
+            return read_pages(fetch_pages(spark, urls, float(config.get("delay", 1.0)), **{k: config[k] for k in ("agent", "get") if k in config}), license=config.get("license"))
+        raise ValueError("a web source needs `urls`, `urls_file`, `pages` or `fixtures_dir`")
     if kind == "api":
         if "fixture" in config:
             fixture = config["fixture"]
             payload = [fixture] if isinstance(fixture, (list, dict)) else [json.loads("\n".join(r["value"] for r in spark.read.text(fixture).collect()))]
             return read_api(spark, payload, **{k: options[k] for k in ("endpoint", "text_field", "id_field", "records_path", "license") if k in options})
-        raise ValueError("a live API needs its pages: give `fixture`")
+        if endpoint := config.get("endpoint"):
+            records = fetch_api(spark, endpoint, int(config.get("max_pages", 1)), **{k: config[k] for k in ("records_path", "headers", "get") if k in config})
+            return read_records(records, endpoint, **{k: options[k] for k in ("text_field", "id_field", "license") if k in options})
+        raise ValueError("an API source needs `endpoint` or `fixture`")
     if kind == "warc":
         reader = read_warc if config["path"].endswith((".warc", ".warc.gz")) and config.get("records") else read_warc_lines
         return reader(spark, config["path"], config.get("license", "Common Crawl ToU"))

@@ -56,51 +56,34 @@ def write_manifest(spark: SparkSession, manifest: dict, path: str) -> None:
     write_text(spark, json.dumps(manifest, ensure_ascii=False, indent=2, default=str), path)
 
 
+#: The keys of a card's front matter, with where a manifest has them.
+FRONT_MATTER = ("dataset_name", "version", "language", "license")
+
+
 def dataset_card(manifest: dict) -> str:
     """A dataset card in Markdown from a run's manifest; what a run didn't measure is n/a."""
-    diversity, removed = manifest.get("diversity") or {}, manifest.get("stage_stats") or {}
+    diversity = manifest.get("diversity") or {}
+    languages, licenses = diversity.get("language_distribution") or {}, manifest.get("licenses") or {}
+    front = dict(zip(FRONT_MATTER, (manifest.get("dataset_name"), manifest.get("content_version"), list(languages), list(licenses)), strict=True))
     number = lambda x: f"{x:,}" if isinstance(x, int) else "n/a"
-    languages = diversity.get("language_distribution") or {}
-
-    def table(head: str, rows: dict) -> str:
-        return "\n".join([f"| {head} | documents |", "|---|---|", *(f"| {k} | {v} |" for k, v in rows.items())]) if rows else "_none_"
-
-    return "\n".join(
-        [
-            "---",
-            f"dataset_name: {manifest.get('dataset_name')}",
-            f"version: {manifest.get('content_version')}",
-            f"language: {list(languages)}",
-            f"license: {list(manifest.get('licenses') or {})}",
-            "---",
-            "",
-            f"# {manifest.get('dataset_name')}",
-            "",
-            "Generated from the manifest of the run that made this dataset.",
-            "",
-            f"* Content version: `{manifest.get('content_version')}`",
-            f"* Generated at: {manifest.get('generated_at')}",
-            f"* Records: {number(manifest.get('num_records'))}",
-            f"* Languages: {diversity.get('num_languages', 'n/a')}",
-            f"* Tokens: {number(diversity.get('total_tokens'))}",
-            f"* Vocabulary: {number(diversity.get('vocabulary_size'))}",
-            f"* Language balance: {diversity.get('language_balance', 'n/a')}",
-            "",
-            "## Languages",
-            table("language", languages),
-            "",
-            "## Sources",
-            table("source type", manifest.get("sources") or {}),
-            "",
-            "## Licenses",
-            table("license", manifest.get("licenses") or {}),
-            "",
-            "## Removed, by stage",
-            table("stage", {k: v for k, v in removed.items() if k not in ("collected", "aligned_pairs")}),
-            "",
-            "## Limits",
-            "* Languages are told by script; one language stands for all that share a script.",
-            "* Contamination was looked for in the given benchmarks only.",
-            "",
-        ]
-    )
+    facts = {
+        "Content version": f"`{manifest.get('content_version')}`",
+        "Generated at": manifest.get("generated_at"),
+        "Records": number(manifest.get("num_records")),
+        "Languages": diversity.get("num_languages", "n/a"),
+        "Tokens": number(diversity.get("total_tokens")),
+        "Vocabulary": number(diversity.get("vocabulary_size")),
+        "Language balance": diversity.get("language_balance", "n/a"),
+    }
+    removed = {k: v for k, v in (manifest.get("stage_stats") or {}).items() if k not in ("collected", "aligned_pairs")}
+    lines = ["---", *(f"{k}: {v}" for k, v in front.items()), "---", "", f"# {front['dataset_name']}", "", "Generated from the manifest of the run that made this dataset.", ""]
+    lines += [f"* {k}: {v}" for k, v in facts.items()]
+    for title, column, counts in (("Languages", "language", languages), ("Sources", "source type", manifest.get("sources") or {}), ("Licenses", "license", licenses), ("Removed, by stage", "stage", removed)):
+        lines += ["", f"## {title}"]
+        if counts:
+            lines += [f"| {column} | documents |", "|---|---|"]
+            lines += [f"| {value} | {count} |" for value, count in counts.items()]
+        else:
+            lines.append("Nothing counted.")
+    lines += ["", "## Limits", "* Languages are told by script; one language stands for all that share a script.", "* Contamination was looked for in the given benchmarks only.", ""]
+    return "\n".join(lines)
