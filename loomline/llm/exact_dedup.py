@@ -72,6 +72,17 @@ def with_possible(df: DataFrame, key: str, words: DataFrame, bits: int, name: st
     return out.withColumn(name, test).select(*df.columns, name)
 
 
+def may_be_in(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """rows with a boolean, whether the key may be among keys (column `key`). False is certain: such rows need no join.
+
+    The map marks every position hit once. More keys than MOST_BITS are for fill it up, which lets more rows through.
+    """
+    bits = min(MOST_BITS, filter_bits(keys.count()))
+    hits = keys.select(F.explode(F.array(*[_position(F.col(key), k, bits) for k in range(POSITIONS)])).alias("at"))
+    words = hits.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("marked"))
+    return with_possible(rows, key, written(words, "key-filter"), bits, name)
+
+
 def _range(key: str, ranges: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(-1)), F.lit(ranges)).cast("int")
 

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.common import chunks, clear_name, in_arrow, written
+from loomline.llm.exact_dedup import may_be_in
 
 WIDTH = 4
 RADIUS = 4
@@ -265,16 +266,20 @@ def one_of_each(docs: DataFrame, grouped: DataFrame, id_col: str = "doc_id", tex
     pairs = written(grouped.groupBy("doc_id", "key", "group").agg(F.count("*").alias("n")), "group-rows")
     firsts = written(pairs.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")).select(F.col("group").alias("group2"), "first"), "group-firsts")
     met = pairs.join(firsts, F.col("group") == F.col("group2")).withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")))
-    met = written(met.select("doc_id", "key", "n", "stays").filter("n > 1 or not stays"), "group-told")
-    key, gone_id, gone_key = (clear_name(docs, x) for x in ("key", "gone_id", "gone_key"))
-    named = lambda rows: rows.select(F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key))
-    same = F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
-    keyed = docs.withColumn(key, text_key(F.col(text_col)))
-    # Rows that are alone in their group or its only first aren't in met. Copies of a first in id and text are rare.
-    stay = keyed.join(named(met), same, "left_anti").drop(key)
+    key, gone, may = (clear_name(docs, x) for x in ("key", "gone", "may"))
+    of_row = lambda i, t: F.xxhash64(i, t)
+    met = met.filter("n > 1 or not stays").select(of_row(F.col("doc_id"), F.col("key")).alias(key), F.col("doc_id").alias(f"{gone}_id"), F.col("key").alias(f"{gone}_key"), "stays")
+    met = written(met, "group-told")
+    # Rows that are alone in their group or its only first aren't in met; a filter of its keys lets most of them pass straight.
+    keyed = may_be_in(docs.withColumn(key, of_row(F.col(id_col), text_key(F.col(text_col)))), key, met.select(key), may)
+    same = F.col(id_col).eqNullSafe(F.col(f"{gone}_id")) & (text_key(F.col(text_col)) == F.col(f"{gone}_key"))
+    told = met.drop(key)
+    stay = keyed.filter(~F.col(may)).unionByName(keyed.filter(may).join(told, same, "left_anti")).select(*docs.columns)
     if met.filter("stays").isEmpty():
         return stay
-    return stay.unionByName(keyed.join(named(met.filter("stays")), same, "left_semi").dropDuplicates([id_col, key]).drop(key))
+    # Copies of a first in id and text are rare.
+    several = keyed.filter(may).join(told.filter("stays"), same, "left_semi")
+    return stay.unionByName(several.dropDuplicates([key]).select(*docs.columns))
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
