@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,24 +10,12 @@ from loomline.functions import language as L
 from loomline.functions import text as X
 from loomline.functions.vectors import embed_sparse, sketch
 from loomline.operators import annotation, dedup, matching, rules, search, speech, stats, synthetic
-from loomline.sources.readers import spread
+from loomline.registry import QUERIES as _QUERIES
+from loomline.registry import SQL as _SQL
+from loomline.registry import Query, query, table
 from loomline.storage import shared_dir
 from loomline.streaming.dedup import dedup_stream
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return register
-
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
@@ -39,10 +25,6 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
 # Pieces of SQL. RE2 has no possessive quantifiers; its classes are those of the Columns.
 _U = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _WS = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}" + _U + "]"
@@ -255,19 +237,24 @@ def parallel_align(spark, sf_dir):
     return matching.align(docs, id_col="doc_id", language="lang").select("id", "source_language", "target_language", "alignment_score")
 
 
-# Raters: the given quality label, and two rules over the documents; rater c leaves out every third document.
-_RATED = """r AS (SELECT l.doc_id AS item_id, 'a' AS annotator_id, CAST(l.quality AS VARCHAR) AS label, CAST(l.quality AS VARCHAR) AS gold FROM labels l
+# Raters: the given quality label, and two rules over the documents. In the table with gaps rater c leaves out every third item.
+_ALL_RATED = """r AS (SELECT l.doc_id AS item_id, 'a' AS annotator_id, CAST(l.quality AS VARCHAR) AS label, CAST(l.quality AS VARCHAR) AS gold FROM labels l
     UNION ALL SELECT d.doc_id, 'b', CASE WHEN d.n_chars >= 500 THEN '1' ELSE '0' END, CAST(l.quality AS VARCHAR) FROM labels l JOIN documents d USING (doc_id)
-    UNION ALL SELECT l.doc_id, 'c', CAST(1 - l.toxic AS VARCHAR), CAST(l.quality AS VARCHAR) FROM labels l WHERE l.doc_id % 3 <> 0)"""
+    UNION ALL SELECT l.doc_id, 'c', CAST(1 - l.toxic AS VARCHAR), CAST(l.quality AS VARCHAR) FROM labels l)"""
+_RATED = f"{_ALL_RATED.replace('r AS', 'every AS', 1)}, r AS (SELECT * FROM every WHERE annotator_id <> 'c' OR item_id % 3 <> 0)"
 _COUNTED = f"{_RATED}, k AS (SELECT item_id, label, count(*) AS c FROM r GROUP BY ALL), i AS (SELECT item_id, sum(c) AS m, max(c) AS top, sum(c * c) AS squares, sum(c * (c - 1)) AS same FROM k GROUP BY ALL)"
 
 
-def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("item_id"), F.col("quality").cast("string").alias("gold_label"), "quality", "toxic")
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     rater = lambda df, name, label: df.select("item_id", F.lit(name).alias("annotator_id"), label.cast("string").alias("label"), "gold_label")
     by_length = given.join(docs, F.col("item_id") == F.col("doc_id"))
-    return rater(given, "a", F.col("quality")).unionByName(rater(by_length, "b", (F.col("n_chars") >= 500).cast("int"))).unionByName(rater(given.filter("item_id % 3 <> 0"), "c", 1 - F.col("toxic")))
+    return rater(given, "a", F.col("quality")).unionByName(rater(by_length, "b", (F.col("n_chars") >= 500).cast("int"))).unionByName(rater(given, "c", 1 - F.col("toxic")))
+
+
+def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _all_rated(spark, sf_dir).filter("annotator_id <> 'c' OR item_id % 3 <> 0")
 
 
 @query(f"WITH {_COUNTED}, t AS (SELECT k.item_id, count(*) AS firsts, any_value(k.label) AS label FROM k JOIN i ON i.item_id = k.item_id AND k.c = i.top GROUP BY ALL) SELECT i.item_id, CASE WHEN firsts = 1 THEN t.label END AS consensus, round(top / m, 4) AS agreement, m::BIGINT AS n_annotations, firsts > 1 OR top / m < 0.66 AS needs_adjudication FROM i JOIN t USING (item_id)")
@@ -303,11 +290,11 @@ def cohen_kappa(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_RATED}, e AS (SELECT * FROM r WHERE item_id % 3 <> 0), k AS (SELECT item_id, label, count(*) AS c FROM e GROUP BY ALL), p AS (SELECT avg((s - 3) / 6) AS p FROM (SELECT sum(c * c) AS s FROM k GROUP BY item_id)),
+    f"""WITH {_ALL_RATED}, k AS (SELECT item_id, label, count(*) AS c FROM r GROUP BY ALL), p AS (SELECT avg((s - 3) / 6) AS p FROM (SELECT sum(c * c) AS s FROM k GROUP BY item_id)),
     q AS (SELECT sum((t / n) * (t / n)) AS pe FROM (SELECT sum(c) AS t, sum(sum(c)) OVER () AS n FROM k GROUP BY label)) SELECT round((p - pe) / (1 - pe), 4) AS fleiss_kappa FROM p, q"""
 )
 def fleiss_kappa(spark, sf_dir):
-    return annotation.fleiss_kappa(_rated(spark, sf_dir).filter("item_id % 3 <> 0"))
+    return annotation.fleiss_kappa(_all_rated(spark, sf_dir))
 
 
 @query(
@@ -372,14 +359,15 @@ def instruction_validate(spark, sf_dir):
     return _seeds(spark, sf_dir).select("id", synthetic.instruction_issue().alias("issue"))
 
 
-@query("""WITH t AS (SELECT conv_id, min(text) FILTER (WHERE turn = 0) AS goal, list(CASE WHEN turn % 4 = 3 THEN '' ELSE role END ORDER BY turn) AS tools FROM conversations GROUP BY conv_id),
-    p AS (SELECT conv_id, unnest(list_transform(range(0, len(tools)), lambda i: struct_pack(i := i, tool := tools[i + 1]))) AS s FROM t),
-    q AS (SELECT conv_id, count(*) FILTER (WHERE s.tool NOT IN ('user', 'system')) + count(*) FILTER (WHERE s.tool = '') AS n FROM p GROUP BY ALL)
-    SELECT t.conv_id, q.n + CASE WHEN t.goal IS NULL THEN 1 ELSE 0 END + 1 AS problems FROM t JOIN q USING (conv_id)""")
+@query(
+    f"""WITH t AS (SELECT conv_id, min(text) FILTER (WHERE turn = 0) AS goal, list(CASE WHEN turn % 4 = 3 THEN '' ELSE role END ORDER BY turn) AS tools FROM conversations GROUP BY conv_id),
+    s AS (SELECT *, list_transform(range(0, len(tools)), lambda i: list_filter([CASE WHEN tools[i + 1] NOT IN ('user', 'system') THEN 'step' || i || '_undeclared_tool:' || tools[i + 1] END, CASE WHEN tools[i + 1] = '' THEN 'step' || i || '_empty_tool' END], lambda x: x IS NOT NULL)) AS steps FROM t)
+    SELECT conv_id, array_to_string(list_concat(CASE WHEN length({_strip("coalesce(goal, '')")}) = 0 THEN ['empty_goal'] ELSE [] END, ['no_final_answer'], flatten(steps)), ' ') AS problems FROM s"""
+)
 def trajectory_validate(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").withColumn("tool", F.when(F.col("turn") % 4 == 3, F.lit("")).otherwise(F.col("role")))
     t = c.groupBy("conv_id").agg(F.min(F.when(F.col("turn") == 0, F.col("text"))).alias("goal"), F.array_sort(F.collect_list(F.struct("turn", "tool"))).alias("steps"))
-    return t.withColumns({"final_answer": F.lit(""), "available_tools": F.array(F.lit("user"), F.lit("system"))}).select("conv_id", F.size(synthetic.trajectory_problems()).cast("long").alias("problems"))
+    return t.withColumns({"final_answer": F.lit(""), "available_tools": F.array(F.lit("user"), F.lit("system"))}).select("conv_id", F.array_join(synthetic.trajectory_problems(), " ").alias("problems"))
 
 
 _SEARCHED = "the and inea of the"
@@ -401,11 +389,11 @@ def exact_lookup(spark, sf_dir):
 
 
 @query(
-    f"""WITH c AS (SELECT item_id, {_collapse("text")} AS t FROM benchmark), g AS (SELECT item_id, substring(t, unnest(range(1, greatest(length(t) - 2, 1) + 1))::INT, 3) AS s FROM c WHERE length(t) > 0),
-    b AS (SELECT item_id, ('0x' || right(md5(s), 2))::INT AS bucket, count(*) AS n FROM g GROUP BY ALL) SELECT item_id, bucket::BIGINT AS bucket, round(n / sqrt(sum(n * n) OVER (PARTITION BY item_id)), 6) AS weight FROM b"""
+    f"""WITH c AS (SELECT doc_id AS item_id, {_collapse("text")} AS t FROM documents), g AS (SELECT item_id, substring(t, unnest(range(1, greatest(length(t) - 2, 1) + 1))::INT, 3) AS s FROM c WHERE length(t) > 0),
+    b AS (SELECT item_id, ('0x' || right(md5(s), 2))::INT AS bucket, count(*) AS n FROM g GROUP BY ALL) SELECT item_id AS doc_id, bucket::BIGINT AS bucket, round(n / sqrt(sum(n * n) OVER (PARTITION BY item_id)), 6) AS weight FROM b"""
 )
 def hash_embedding(spark, sf_dir):
-    return embed_sparse(table(spark, sf_dir, "benchmark"), keep=("item_id",)).select("item_id", "bucket", F.round("weight", 6).alias("weight"))
+    return embed_sparse(table(spark, sf_dir, "documents")).select("doc_id", "bucket", F.round("weight", 6).alias("weight"))
 
 
 @query()
@@ -451,3 +439,6 @@ def stream_event_dedup(spark, sf_dir):
     out = dedup_stream(events.withColumn("ts", F.col("ts").cast("timestamp")), ["user_id", "event_type"], "ts", "400 days").select("user_id", "event_type")
     out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("user_id long, event_type string").parquet(f"{base}/out")
+
+
+from loomline import io_queries as _io_queries  # noqa: E402, F401  registers the queries of readers, writers and runs
