@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomline import storage
 from loomline.storage import drop as drop
 from loomline.storage import new_path as new_path
 from loomline.storage import reread as reread
-from loomline.storage import written as written
 
 #: Rows and bytes of text that one worker handles at a time.
 CHUNK_ROWS = 2000
@@ -50,16 +51,29 @@ def n_words(text: Column) -> Column:
     ).otherwise(0)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lets Arrow batches hold 1000 rows where the session still has Spark's own bound: buffers of long texts stay small."""
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of 1000 rows while a table is written, so that buffers of long texts stay small; the session's own bound after that."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, "1000")
+    own = spark.conf.get(name)
+    if 0 < int(own) <= 1000:
+        yield
+        return
+    spark.conf.set(name, "1000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """storage.written() with small Arrow batches."""
+    with small_batches(df.sparkSession):
+        return storage.written(df, name, by)
 
 
 def in_arrow(df: DataFrame, work, schema) -> DataFrame:
-    """mapInArrow over small batches."""
-    small_batches(df.sparkSession)
+    """mapInArrow, for transform()."""
     return df.mapInArrow(work, schema)
 
 

@@ -1,9 +1,11 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule reads a few features of a text. On a bounded sample each rule's seconds per text and share of rejections are
-measured, and the rules are ordered by rejections per second. A text runs through them in that order and leaves at the
-first that rejects it, so a feature is computed only for texts that some remaining rule has to see (features that a
-report asks for are computed for all). The verdict is that of all rules together and doesn't depend on the order.
+Every rule reads a few features of a text. On a bounded sample of texts from all partitions each task measures what the
+rules cost and which of them reject a text. The order is built from the first place on: next comes the rule that rejects
+most per second of those sample texts that the rules before it let through. A text runs through the rules in that order
+and leaves at the first that rejects it, so a feature is computed only for texts that some remaining rule has to see
+(features that a report asks for are computed for all). The verdict is that of all rules together and doesn't depend on
+the order.
 
 Words are runs of bytes other than ASCII white space. Null is a text without words. Repeated rows are judged alike;
 other columns pass through; very long texts are read whole; an empty table gives an empty result.
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from loomline.llm.common import chunks, clear_name, in_arrow, without_outputs
 
-#: Texts of the sample that costs and rejections are measured on, and the most bytes one may have.
-SAMPLE_ROWS = 500
+#: Texts of a partition's sample that costs and rejections are measured on, and the most bytes one may have.
+SAMPLE_ROWS = 50
 SAMPLE_BYTES = 1 << 16
 
 SYMBOLS = b"#*$%&|<>"
@@ -147,27 +149,55 @@ RULES = (
 )
 
 
-def measured(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
-    """(seconds per text, share rejected) of each rule on a sample.
+@dataclass(frozen=True)
+class Sample:
+    """Seconds per text of each rule, and the number of texts by the set of rules that reject them (bit k: the k-th rule)."""
+
+    seconds: tuple[float, ...]
+    rejected: dict[int, int]
+
+
+def measured(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> Sample:
+    """Each task measures the first `rows` texts of at most SAMPLE_BYTES that its partition has, and reads no further.
 
-    The sample is read partition by partition until it is full, so a large table isn't read or shuffled for it, and is
-    measured on the driver: at most `rows` texts of at most SAMPLE_BYTES each. It settles the order of rules only.
+    The driver gets a row per rule and per set of rules that reject a text. The sample settles the order of rules only.
     """
-    few = docs.select(F.col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES).take(rows)
-    texts = [r["text"].encode() for r in few]
-    found = {}
-    for r in rules:
-        x, every = Texts(texts), np.arange(len(texts))
-        began = time.perf_counter()
-        bad = r.fails(*[x.get(f, every) for f in r.needs]).sum() if texts else 0
-        found[r.name] = ((time.perf_counter() - began) / max(1, len(texts)), int(bad) / max(1, len(texts)))
-    return found
-
-
-def ordered(costs: dict[str, tuple[float, float]], rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
-    """Rules by rejections per second, the best first; unmeasured ones last, equal ones as listed."""
-    worth = {r.name: costs[r.name][1] / max(costs[r.name][0], 1e-9) if r.name in costs else -1.0 for r in rules}
-    return tuple(sorted(rules, key=lambda r: -worth[r.name]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: list[bytes] = []
+        for batch in batches:
+            texts += [t.encode() for t in batch.column(0).slice(0, rows - len(texts)).to_pylist()]
+            if len(texts) >= rows:
+                break
+        masks, seconds = np.zeros(len(texts), np.int64), []
+        for k, r in enumerate(rules):
+            x, every = Texts(texts), np.arange(len(texts))
+            began = time.perf_counter()
+            bad = r.fails(*[x.get(f, every) for f in r.needs]) if texts else masks
+            seconds.append(time.perf_counter() - began)
+            masks |= np.where(bad, 1 << k, 0)
+        held, n = np.unique(masks, return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([True] * len(rules) + [False] * len(held)), pa.array([*range(len(rules)), *held.tolist()], pa.int64()), pa.array(seconds + [0.0] * len(held)), pa.array([len(texts)] * len(rules) + n.tolist(), pa.int64())], ["cost", "key", "seconds", "n"]
+        )
+
+    few = docs.select(F.col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES)
+    found = few.transform(in_arrow, work, "cost boolean, key long, seconds double, n long").groupBy("cost", "key").agg(F.sum("seconds").alias("seconds"), F.sum("n").alias("n")).collect()
+    costs = {r["key"]: r["seconds"] / max(1, r["n"]) for r in found if r["cost"]}
+    return Sample(tuple(costs.get(k, 0.0) for k in range(len(rules))), {r["key"]: r["n"] for r in found if not r["cost"]})
+
+
+def ordered(sample: Sample, rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
+    """Rules by rejections per second of what the rules before let through, the best first; equal ones as listed."""
+    left, order = dict(sample.rejected), []
+    rest = list(range(len(rules)))
+    while rest:
+        worth = {k: sum(n for mask, n in left.items() if mask >> k & 1) / max(sample.seconds[k], 1e-9) for k in rest}
+        best = max(rest, key=lambda k: worth[k])
+        order.append(rules[best])
+        rest.remove(best)
+        left = {mask: n for mask, n in left.items() if not mask >> best & 1}
+    return tuple(order)
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", keep: list[str] | None = None, report: tuple[str, ...] = ()) -> DataFrame:

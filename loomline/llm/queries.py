@@ -19,7 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.train(docs, crc_mod("doc_id", 3) != 1)
-    return langid.identify(docs, model, keep=["doc_id"]).select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+    return langid.identify(docs, model, keep=["doc_id"]).select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"), F.to_json("spans").alias("spans"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

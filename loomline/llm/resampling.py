@@ -2,7 +2,7 @@
 
 Two generative models over hashed n-grams, one of a target (labelled good texts) and one of the raw corpus (all texts),
 give each document the log importance weight of its n-grams, log p_target - log p_raw. Keys of log weight plus Gumbel
-noise, drawn from a hash of id and length, are a sample without replacement in proportion to the weights when the top k
+noise, drawn from a hash of id and weight, are a sample without replacement in proportion to the weights when the top k
 are taken. For classification, k is the number of documents whose weight reaches a boundary that the labelled sample
 fixes: the weight that best parts good from bad labels while it loses at most ``MOST_LOST`` of the good.
 
@@ -27,7 +27,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import Numbering, chunks, clear_name, in_arrow, small_batches, written
+from loomline.llm.common import Numbering, chunks, clear_name, in_arrow, written
+from loomline.llm.exact_dedup import may_be_in
+from loomline.llm.simhash import text_key
 
 BUCKETS = 1 << 16
 LABELLED = 20_000
@@ -134,7 +136,6 @@ def fit(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: st
 def log_weight(spark, text: Column, quality: Column, model: Model) -> Column:
     """The text's log importance weight; only the text and its label, if it is of the target, go to Python."""
     shared = spark.sparkContext.broadcast(model)
-    small_batches(spark)
 
     @F.arrow_udf(T.DoubleType())
     def weigh(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -194,11 +195,11 @@ def kth_key(keys: DataFrame, k: int) -> float:
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: float = NOISE, label_id: str = "doc_id", quality_col: str = "quality") -> tuple[DataFrame, float, Model, DataFrame]:
-    """(id, weight, key of every row; the key from which rows are kept; the model; the labelled sample)."""
+    """(id, text_key, weight, key of every row; the key from which rows are kept; the model; the labelled sample)."""
     sample = written(labelled_sample(labels, label_id, quality_col), "resample-labels")
     model = fit(docs, sample, id_col, text_col)
-    rows = marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), sample, "id", "quality")
-    weighed = rows.select("id", log_weight(docs.sparkSession, F.col("text"), F.col("quality"), model).alias("weight"))
+    rows = marked(docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")), sample, "id", "quality")
+    weighed = rows.select("id", "text_key", log_weight(docs.sparkSession, F.col("text"), F.col("quality"), model).alias("weight"))
     scored = written(weighed.withColumn("key", F.col("weight") + noise * gumbel(F.col("id"), F.col("weight"))), "resample-scores")
     cut = boundary(scored, sample)
     if cut is None:
@@ -214,8 +215,15 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: float = NOISE) -> DataFrame:
-    """The rows of docs that are kept, with all columns. Weights are computed again where the rows are; texts don't shuffle."""
-    _, cut, model, sample = score(docs, labels, id_col, text_col, noise)
-    weight, quality = clear_name(docs, "weight"), clear_name(docs, "quality")
-    weighed = marked(docs, sample, id_col, quality).withColumn(weight, log_weight(docs.sparkSession, F.col(text_col), F.col(quality), model))
-    return weighed.filter(F.col(weight) + noise * gumbel(F.col(id_col), F.col(weight)) >= F.lit(float(cut))).select(*docs.columns)
+    """The rows of docs that are kept, with all columns. Rows of equal id and text have equal keys and go together.
+
+    A filter of the rejected rows' hashes lets most of the others pass straight; only rows that it may hold are joined.
+    """
+    scored, cut, _, _ = score(docs, labels, id_col, text_col, noise)
+    key, gone, may = (clear_name(docs, x) for x in ("key", "gone", "may"))
+    row_key = lambda i, t: F.xxhash64(i, t)
+    rejected = scored.filter(F.col("key") < F.lit(float(cut))).select(row_key(F.col("id"), F.col("text_key")).alias(key), F.col("id").alias(f"{gone}_id"), F.col("text_key").alias(f"{gone}_key")).distinct()
+    rejected = written(rejected, "resample-rejected")
+    keyed = may_be_in(docs.withColumn(key, row_key(F.col(id_col), text_key(F.col(text_col)))), key, rejected.select(key), may)
+    same = F.col(id_col).eqNullSafe(F.col(f"{gone}_id")) & (text_key(F.col(text_col)) == F.col(f"{gone}_key"))
+    return keyed.filter(~F.col(may)).unionByName(keyed.filter(may).join(rejected.drop(key), same, "left_anti")).select(*docs.columns)

@@ -367,7 +367,12 @@ def test_quality_rules(docs, empty):
     verdicts = {tuple(sorted((str(r["doc_id"]), r["kept"]) for r in quality_rules.judge(docs, rules, keep=["doc_id"]).collect())) for rules in (quality_rules.RULES, quality_rules.RULES[::-1])}
     assert len(verdicts) == 1
     assert quality_rules.cascade(empty).count() == 0
-    assert [r.name for r in quality_rules.ordered({"symbols": (1.0, 0.9), "few_words": (0.1, 0.5)})][:2] == ["few_words", "symbols"]
+    sample = quality_rules.measured(docs)
+    assert sum(sample.rejected.values()) == sum(r[1] is not None and len(r[1].encode()) <= quality_rules.SAMPLE_BYTES for r in ROWS) and all(x >= 0 for x in sample.seconds)
+    # The second rule rejects most by itself, but nothing that the first lets through.
+    rules = quality_rules.RULES[:3]
+    order = quality_rules.ordered(quality_rules.Sample((1.0, 1.1, 2.0), {0b011: 50, 0b001: 5, 0b100: 9, 0: 30}), rules)
+    assert [r.name for r in order] == [rules[0].name, rules[2].name, rules[1].name]
 
 
 def test_repeated_words_with_a_large_vocabulary():
@@ -414,6 +419,34 @@ def test_language_spans_and_scripts(spark, empty):
     assert langid.identify(empty, model).count() == 0
 
 
+def test_language_labels_by_plain_means(spark):
+    """Spans by a plain search for the best path, then language and score from them; long and repeated texts among others."""
+    en, de = "the quick brown fox jumps over this lazy dog and then some more words", "der schnelle braune Fuchs springt über den faulen Hund und dann weiter"
+    train = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate([(en, "en"), (de, "de"), ("la volpe veloce salta sopra il cane", "it")] * 20)], "doc_id long, text string, lang string")
+    model = langid.train(train, F.lit(True))
+    r = np.random.default_rng(8)
+    texts = [" ".join(r.choice((en if r.random() < 0.5 else de).split(), int(r.integers(1, 9)))) + f" {de} {en}" * int(r.integers(0, 3)) for _ in range(40)]
+    texts += [texts[0], f"{en} {de} " * 400, "123 the 4!", "fox"]
+    words = langid.Words(model)
+    told = langid.label([t.encode() for t in texts], words)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [(x["lang_pred"], x["score"], [s.asDict() for s in x["spans"]]) for x in langid.identify(df, model).orderBy("doc_id").collect()] == told
+    for t, (lang, score, spans) in zip(texts, told, strict=True):
+        at = words.look(t.lower().split())
+        scores, letters = words.scores[at].astype(float), words.n_letters[at]
+        best = scores[0]  # the value of the best path that ends in each language
+        for row in scores[1:]:
+            best = np.maximum(best, best.max() - langid.SWITCH_PENALTY) + row
+        path = [model.langs.index(x["lang"]) for x in spans for _ in range(x["start"], x["end"])]
+        value = sum(scores[i, k] for i, k in enumerate(path)) - langid.SWITCH_PENALTY * sum(a != b for a, b in itertools.pairwise(path))
+        assert len(path) == len(at) and value == pytest.approx(best.max(), abs=1e-3)
+        held = np.bincount(path, letters, len(model.langs))
+        pick = model.langs.index(lang)
+        assert held[pick] == held.max()
+        margin = np.clip(scores.sum(0)[pick] - np.delete(scores.sum(0), pick).max(), -30, 30)
+        assert score == pytest.approx(held[pick] / held.sum() / (1 + math.exp(-margin)), abs=1e-4)
+
+
 def test_stretches_that_skip_the_pass_are_single(monkeypatch):
     """The bound that spares texts the pass never hides a switch."""
     counts = RNG.poisson(1, (3, langid.BUCKETS))
@@ -496,6 +529,28 @@ def test_resampling(docs, empty, spark):
     assert resampling.classify(docs, labels).count() == len(ROWS) and resampling.resample(empty, labels).count() == 0
 
 
+def test_resampling_weights_by_plain_means(docs, spark):
+    labels = spark.createDataFrame([(6, 1), (13, 1), (10, 0), (20, 1), (21, 0), (9, 1)], "doc_id long, quality int")
+    good = {6, 13, 20, 9}
+
+    def buckets(t):
+        tokens = [x for w in (t or "").lower().split() for x in re.findall(r"\w+|[^\w\s]+", w)]
+        h = [xxhash.xxh64_intdigest(x.encode()) for x in tokens]
+        both = [((a ^ a >> 29) * 0x9E3779B97F4A7C15 + b) % 2**64 for a, b in itertools.pairwise(h)]
+        return Counter([x % resampling.BUCKETS for x in h] + [(x ^ x >> 31) % resampling.BUCKETS for x in both])
+
+    held = [(i, buckets(t)) for i, t, *_ in ROWS]
+    raw, target = Counter(), Counter()
+    for i, b in held:
+        raw.update(b)
+        target.update(b if i in good else {})
+    part = sum(target.values()) / sum(raw.values())
+    weight = lambda i, b: sum(n * math.log((max(0, target[k] - n * (i in good)) + resampling.PRIOR * part) / (max(0, raw[k] - n) + resampling.PRIOR) / part) for k, n in b.items())
+    got = sorted((str(x["doc_id"]), round(x["log_weight"], 3)) for x in resampling.classify(docs, labels).collect())
+    assert [i for i, _ in got] == sorted(str(i) for i, _ in held)
+    assert np.allclose([x for _, x in got], [x for _, x in sorted((str(i), round(weight(i, b), 3)) for i, b in held)], atol=0.01)
+
+
 def test_kth_key(spark):
     keys = [float(x) for x in RNG.normal(0, 100, 3000).round(1)] + [7.5] * 40
     df = spark.createDataFrame([(k,) for k in keys], "key double")
