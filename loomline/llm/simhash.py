@@ -1,17 +1,19 @@
-"""SimHash near-dedup: 64-bit fingerprints, linked within a Hamming radius by vantage-point trees, and their components.
+"""SimHash near-dedup: 64-bit fingerprints, linked within a Hamming radius by shards and vantage-point trees in them, and their components.
 
 **Fingerprints.** Lower-cased (A-Z) ASCII-space words in shingles of ``width``, repeats included; a bit is 1 if set in
 over half the XXH64 hashes (seed 42). Fewer words make one shingle; none (null, empty or blank text) make fingerprint 0,
 which is linked like any other.
 
-**Search.** Equal fingerprints are one node. In 64 dimensions distances crowd near 32, so a vantage point over the whole
-fingerprint prunes little: within radius 4 of a median split lie about 0.4 of a side's points, and a tree of depth 15
-copies each query about 100 times. So the tree's top levels measure distance over blocks of bits only. Two fingerprints
-within radius r agree on at least ``c`` of ``r + c`` blocks; there their distances to any vantage point are equal, the
-triangle bound has radius 0 and shards do not overlap. Every choice of c blocks is one such tree top; c grows with the
-number of nodes so that a shard holds about ``LEAF`` of them, and every c finds exactly the same pairs. Inside a shard,
-points are dealt by whole distance to a vantage point; points near the boundary are searched on both sides, until leaves
-are small; in a leaf, pairs that the triangle bound lets through are compared exactly. A shard of many nodes (a large
+**Search.** Equal fingerprints are one node. Vantage-point trees over whole fingerprints don't prune here, so they aren't the
+main way; the README says so as an exit from the method, with figures. Distances crowd near 32: on the 47,236 distinct
+fingerprints of a test table a median split with the best of five vantage points leaves 1.37 points to search for each,
+and leaves of 256 hold 108 copies of each fingerprint and 0.47 of all pairs. So shards are made by blocks of bits instead. Two
+fingerprints within radius r agree on at least ``c`` of ``r + c`` blocks, and every choice of c blocks is one set of shards; c
+grows with the number of nodes so that a shard holds about ``LEAF`` of them, and every c finds exactly the same pairs. (A
+distance over agreeing blocks is a vantage-point distance of radius 0, whose shards don't overlap.) Inside a shard of over
+four times LEAF, a vantage-point tree deals points by whole distance; points near the boundary are searched on both sides.
+In a leaf, pairs that the triangle bound lets through are compared exactly; a leaf that no vantage point parts is compared
+in blocks by one task, ``HOT`` nodes at most but for groups that ``SPLITS`` splits don't part. A shard of more nodes (a large
 group of near copies) is first split over tasks by shells around a vantage point, each shell together with a copy of the
 next, which the bound shows to be enough.
 
