@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomline.operators.stats import funnel
+
 EXPORTED = "exported"
 
 
@@ -87,3 +89,25 @@ def dataset_card(manifest: dict) -> str:
             lines.append("Nothing counted.")
     lines += ["", "## Limits", "* Languages are told by script; one language stands for all that share a script.", "* Contamination was looked for in the given benchmarks only.", ""]
     return "\n".join(lines)
+
+
+def run_report(manifest: dict) -> str:
+    """A page about a run: its numbers, the funnel of its stages, languages, sources and licenses as bars."""
+    from html import escape
+
+    numbers, diversity = manifest.get("stage_stats") or {}, manifest.get("diversity") or {}
+    name = escape(str(manifest.get("dataset_name")))
+
+    def bars(title: str, rows: list[tuple[str, int]]) -> str:
+        most = max((n for _, n in rows), default=0) or 1
+        line = lambda label, n: f"<tr><th>{escape(str(label))}</th><td><div style='background:#468;height:1em;width:{30 * n / most:.2f}em'></div></td><td>{n:,}</td></tr>"
+        return f"<h2>{title}</h2><table>{''.join(line(*r) for r in rows)}</table>" if rows else ""
+
+    parts = [
+        bars("Stages", funnel(numbers, manifest.get("num_records") or 0)),
+        bars("Removed", [(k, n) for k, n in numbers.items() if k not in ("collected", "aligned_pairs")]),
+        bars("Languages", list((diversity.get("language_distribution") or {}).items())),
+        bars("Sources", list((manifest.get("sources") or {}).items())),
+        bars("Licenses", list((manifest.get("licenses") or {}).items())),
+    ]
+    return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{name}</title></head><body><h1>{name}</h1><p>Version {escape(str(manifest.get('content_version')))}</p>{''.join(parts)}</body></html>"

@@ -170,3 +170,28 @@ def test_no_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         storage.shared_dir(Session())
+
+
+def test_durations_of_audio_files(spark, tmp_path):
+    import wave
+
+    for name, frames in (("a", 8000), ("b", 4000)):
+        with wave.open(str(tmp_path / f"{name}.wav"), "wb") as f:
+            f.setnchannels(1)
+            f.setsampwidth(2)
+            f.setframerate(8000)
+            f.writeframes(bytes(2 * frames))
+    info = bytes(10) + ((16000 << 44) | (0 << 36) | 24000).to_bytes(8, "big") + bytes(16)
+    (tmp_path / "c.flac").write_bytes(b"fLaC" + b"\x80\x00\x00\x22" + info)
+    (tmp_path / "d.wav").write_bytes(b"no wave")
+    found = readers.audio_durations(spark, str(tmp_path))
+    assert {r["file_name"]: r["duration_sec"] for r in found.collect()} == {"a.wav": 1.0, "b.wav": 0.5, "c.flac": 1.5, "d.wav": None}
+    samples = spark.createDataFrame([("x/a.wav", None), ("x/b.wav", 9.0), ("x/q.wav", None)], "audio_path string, duration_sec double")
+    assert {r["audio_path"]: r["duration_sec"] for r in readers.with_durations(samples, found).collect()} == {"x/a.wav": 1.0, "x/b.wav": 9.0, "x/q.wav": None}
+
+
+def test_report_of_a_run():
+    from loomline.sources.sinks import run_report
+
+    page = run_report({"dataset_name": "a<b", "num_records": 3, "stage_stats": {"collected": 5, "filtered_out": 2}, "diversity": {"language_distribution": {"hi": 2, "en": 1}}})
+    assert "a&lt;b" in page and "kept (final)" in page and ">hi<" in page and run_report({}).startswith("<!DOCTYPE")
