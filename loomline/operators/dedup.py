@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions import text as X
-from loomline.functions.vectors import dot, sketch
+from loomline.functions.vectors import band_sketch, dot, shingle_sets
 from loomline.operators.rules import FilterConfig, passes_scale_filter
 from loomline.storage import drop, written
 
@@ -151,21 +151,26 @@ def near(docs: DataFrame, text: str = "text", order: str = "doc_id", threshold:
     """
     if bands is None or rows is None:
         bands, rows = banding(threshold, num_perm)
-    sketches = written(docs.select(F.col(order).alias("node"), sketch(num_perm, bands, rows, shingle)(F.col(text)).alias("s")).select("node", "s.shingles", "s.keys"), "sketches")
+    sketches = written(docs.select(F.col(order).alias("node"), band_sketch(num_perm, bands, rows, shingle)(F.col(text)).alias("s")).select("node", "s.same", "s.keys"), "sketches")
     # Equal shingle sets meet first by one key, so exact copies never share the bands' buckets.
-    same = keep_first(sketches.filter(F.size("shingles") > 0), F.xxhash64(F.col("shingles").cast("string")), "node")
-    same = written(same.select("node", "shingles", "keys", F.col("parent").alias("twin")), "twins")
+    same = written(keep_first(sketches.filter(F.col("same").isNotNull()), F.col("same"), "node").select("node", "keys", F.col("parent").alias("twin")), "twins")
     single = same.filter(F.col("twin").isNull())
+    sets: list[DataFrame] = []
 
-    buckets, payload = single.select(F.explode("keys").alias("bucket"), "node"), single.select("node", F.col("shingles").alias("value"))
-    told = resolve(buckets, payload, X.jaccard, set_jaccard, threshold)
+    def payload(nodes: DataFrame) -> DataFrame:
+        """The shingles of texts that share a bucket, made a second time: those of all texts are larger than the texts."""
+        some = docs.select(F.col(order).alias("node"), F.col(text).alias("text")).join(nodes, "node")
+        sets.append(written(some.select("node", shingle_sets(shingle)(F.col("text")).alias("value")), "shingles"))
+        return sets[0]
+
+    told = resolve(single.select(F.explode("keys").alias("bucket"), "node"), payload, X.jaccard, set_jaccard, threshold).filter(F.col("parent").isNotNull())
+    a, b = sets[0].select("node", F.col("value").alias("a")), sets[0].select(F.col("node").alias("parent"), F.col("value").alias("b"))
+    pairs = written(told.join(a, "node").join(b, "parent").select("node", "parent", F.round(X.jaccard(F.col("a"), F.col("b")), 4).alias("similarity")), "near-found")
     # A copy of a dropped text is dropped for the same document, a copy of a kept one for that.
-    twins = same.filter(F.col("twin").isNotNull()).select("node", "twin").join(told.select(F.col("node").alias("twin"), F.col("parent").alias("up")), "twin").select("node", F.coalesce("up", "twin").alias("parent"))
-    found = written(told.filter(F.col("parent").isNotNull()).unionByName(twins), "near-found")
-    a = sketches.select(F.col("node"), F.col("shingles").alias("a"))
-    b = sketches.select(F.col("node").alias("parent"), F.col("shingles").alias("b"))
-    pairs = found.join(a, "node").join(b, "parent").select(F.col("node").alias("_node"), "parent", F.round(X.jaccard(F.col("a"), F.col("b")), 4).alias("similarity"))
-    return docs.select(F.col(order).alias(order)).join(pairs, F.col(order) == F.col("_node"), "left").select(order, "parent", "similarity")
+    ups = pairs.select(F.col("node").alias("twin"), F.col("parent").alias("up"), F.col("similarity").alias("as_up"))
+    twins = same.filter(F.col("twin").isNotNull()).select("node", "twin").join(ups, "twin", "left").select("node", F.coalesce("up", "twin").alias("parent"), F.coalesce("as_up", F.lit(1.0)).alias("similarity"))
+    found = written(pairs.unionByName(twins).withColumnRenamed("node", "_node"), "near-parents")
+    return docs.select(F.col(order).alias(order)).join(found, F.col(order) == F.col("_node"), "left").select(order, "parent", "similarity")
 
 
 def similar_pairs(vectors: DataFrame, threshold: float, order: str = "vec_id", vector: str = "embedding", blocks: int = 0) -> DataFrame:

@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 
 from loomline.functions import text as X
 
-#: A gram table of at most this many rows is broadcast.
+#: A gram table of at most this many rows and bytes is broadcast.
 BROADCAST_GRAMS = 2_000_000
+BROADCAST_BYTES = 256 << 20
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, ngram: int = 13, text: str = "text", order: str = "doc_id", bench_id: str = "item_id", bench_text: str = "text", bench_order: str | None = None) -> DataFrame:
     """order, bench_id, ngram of every contaminated document: its earliest shared gram, of the first benchmark (by bench_order, else by id) that has it.
 
-    The benchmark's grams are counted before they are broadcast; a larger set joins by gram.
+    The benchmark's grams and their bytes are counted before they are broadcast; a larger set joins by gram.
     """
     grams = lambda c: X.word_ngrams(F.lower(F.coalesce(F.col(c), F.lit(""))), ngram)
     known = benchmark.select(F.col(bench_id).alias("bench_id"), F.col(bench_order or bench_id).alias("first"), F.explode(grams(bench_text)).alias("gram")).groupBy("gram").agg(F.min_by("bench_id", "first").alias("bench_id"))
-    known = F.broadcast(known) if known.count() <= BROADCAST_GRAMS else known
+    rows, size = known.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("gram") + F.octet_length(F.col("bench_id").cast("string"))), F.lit(0))).first()
+    known = F.broadcast(known) if rows <= BROADCAST_GRAMS and size <= BROADCAST_BYTES else known
     own = docs.select(F.col(order), F.posexplode(grams(text)).alias("pos", "gram"))
     hits = own.join(known, "gram").groupBy(order).agg(F.min_by(F.struct("bench_id", "gram"), "pos").alias("hit"))
     return hits.select(order, "hit.bench_id", F.col("hit.gram").alias("ngram"))

@@ -47,7 +47,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     sizes = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return lines.join(F.broadcast(bases), ["file", "block"]).select("value", (F.col("place") - F.col("first") + F.col("base")).alias("line"), "file")
+    return lines.join(bases, ["file", "block"]).select("value", (F.col("place") - F.col("first") + F.col("base")).alias("line"), "file")
 
 
 def spread(df: DataFrame) -> DataFrame:
