@@ -10,7 +10,7 @@ Texts whose evidence can never repay a switch are known to be one span without t
 other languages by more than the penalty, the best path has no switch. The others run the pass side by side.
 
 The model is trained on at most about ``PER_LANG`` whole labelled documents of each language (chosen by hashed id): a
-documented bound for fitting. Null or letterless text is ``und`` with score 0 and no spans, as is every text if there is
+documented bound for fitting, as is that of the ``MOST_LANGS`` most frequent languages. Null or letterless text is ``und`` with score 0 and no spans, as is every text if there is
 no training text. Repeated rows are labelled alike; other columns pass through.
 """
 
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from loomline.llm.common import chunks, clear_name, in_arrow, without_outputs
 
 PER_LANG = 5_000
+#: Languages that are learned, the most frequent first; each costs every task a table of counts.
+MOST_LANGS = 256
 SWITCH_PENALTY = 14.0
 BUCKETS = 1 << 17
 #: A language uses a script that has at least this share of its training letters.
@@ -144,7 +146,7 @@ class Model:
 def train(docs: DataFrame, train_if: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_lang: int = PER_LANG) -> Model | None:
     """A model of the labelled rows that train_if selects; None if there are none. The driver gets one fixed-size table."""
     rows = docs.filter(train_if & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()}
     langs = sorted(sizes)
     if not langs:
         return None

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, clear_name, in_arrow, written
+from loomline.llm.common import chunks, clear_name, drop, in_arrow, written
 from loomline.llm.exact_dedup import may_be_in
 
 WIDTH = 4
@@ -44,7 +44,7 @@ RADIUS = 4
 SEED = 42
 #: Nodes a shard should hold on average, and those from which a shard is split over tasks.
 LEAF = 64
-HOT = 100_000
+HOT = 30_000
 #: Distributed splits of a hot shard at most; what is left is still searched, in one task.
 SPLITS = 6
 
@@ -232,7 +232,9 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(least.select("a", F.col("m").alias("b")))
-        edges = written(small.distinct(), "star-small")
+        now_edges = written(small.distinct(), "star-small")
+        drop(edges, large)
+        edges = now_edges
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if now == before:
             break
