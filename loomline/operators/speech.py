@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomline.functions import text as X
 from loomline.operators.dedup import keep_first
 from loomline.operators.rules import reason_kind
+from loomline.storage import written
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,8 @@ def curate(samples: DataFrame, config: SpeechConfig = SpeechConfig(), order: str
     """samples with normalised transcript and drop_reason; among those that pass, the first of equal transcripts (in lower case) stays."""
     tidy = samples.withColumn("transcript", X.normalize(F.col("transcript")))
     judged = tidy.withColumn("_rule", drop_reason(F.col("transcript"), F.col("duration_sec"), config))
-    marked = keep_first(judged, F.sha2(F.lower("transcript"), 256), order, F.col("_rule").isNull())
+    # Normalised and judged once; firsts and their join read narrow columns of the table.
+    marked = keep_first(written(judged, "speech"), F.sha2(F.lower("transcript"), 256), order, F.col("_rule").isNull())
     return marked.withColumn("drop_reason", F.coalesce("_rule", F.when(F.col("parent").isNotNull(), F.lit("duplicate_transcript")))).drop("_rule", "parent")
 
 
