@@ -77,15 +77,17 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """doc_id, key of the text, fp (signed 64 bits) of every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, keyed: bool = False) -> DataFrame:
+    """doc_id, fp (signed 64 bits) of every row; keyed: and key, the text's."""
+    own = [F.col(id_col).alias("doc_id"), *([text_key(F.col(text_col)).alias("key")] if keyed else [])]
+    rows = docs.select(*own, F.col(text_col).alias("text"))
+    out = T.StructType([*rows.schema.fields[:-1], T.StructField("fp", T.LongType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([fingerprint(t, width) for t in texts], pa.int64())], ["doc_id", "key", "fp"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([fingerprint(t, width) for t in texts], pa.int64())], out.names)
 
-    out = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("key", T.BinaryType()), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).transform(in_arrow, work, out)
+    return rows.transform(in_arrow, work, out)
 
 
 def block_masks(radius: int, agree: int) -> list[int]:
@@ -250,7 +252,7 @@ def _roots(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
-    fps = written(fingerprints(docs, id_col, text_col, width).drop("key"), "simhash-fp")
+    fps = written(fingerprints(docs, id_col, text_col, width), "simhash-fp")
     nodes, roots = _roots(fps, radius)
     # Linked nodes only: the smallest id of each component. Others keep their own.
     linked = nodes.join(roots, nodes.fp == roots.node).select("fp", "root", "least")
@@ -288,7 +290,7 @@ def one_of_each(docs: DataFrame, grouped: DataFrame, id_col: str = "doc_id", tex
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
     """The rows of docs that stay: of each component the one with the smallest id, as one_of_each() has it."""
-    fps = written(fingerprints(docs, id_col, text_col, width), "simhash-fp")
+    fps = written(fingerprints(docs, id_col, text_col, width, keyed=True), "simhash-fp")
     _, roots = _roots(fps, radius)
     several = fps.groupBy("fp").agg(F.count("*").alias("n")).join(roots, F.col("fp") == F.col("node"), "left").filter("n > 1 or root is not null")
     # Written, so that both sides of the join are plain exchanges, which adaptive execution can split at a hot fingerprint.
