@@ -147,7 +147,7 @@ def test_drop_reasons(spark):
     assert [g[0] for g in got] == list(cases.values()) and got[0][1] == "too_short"
     unknown = values(spark, ["good words make a fine sentence here"], rules.drop_reason(F.col("t"), F.lit(None).cast("string")))
     assert unknown == [("unknown_language",)]
-    assert rules.FilterConfig.of({"min_chars": 5, "other": 1}).min_chars == 5
+    assert rules.configured({"min_chars": 5, "other": 1}).min_chars == 5
 
 
 def test_profile_and_quality(spark):
