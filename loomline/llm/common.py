@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -53,7 +54,7 @@ def n_words(text: Column) -> Column:
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of 1000 rows while a table is written, so that buffers of long texts stay small; the session's own bound after that."""
+    """Arrow batches of 1000 rows while a table is written or fetched, so that buffers of long texts stay small; the session's own bound after that."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     own = spark.conf.get(name)
     if 0 < int(own) <= 1000:
@@ -72,9 +73,29 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         return storage.written(df, name, by)
 
 
+def fetched(df: DataFrame) -> pa.Table:
+    """A small result on the driver, made with small Arrow batches."""
+    with small_batches(df.sparkSession):
+        return df.toArrow()
+
+
+def give_back() -> None:
+    """Returns memory that this worker has freed to the system: idle workers stay small beside those of the next stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
 def in_arrow(df: DataFrame, work, schema) -> DataFrame:
-    """mapInArrow, for transform()."""
-    return df.mapInArrow(work, schema)
+    """mapInArrow, for transform(). What a partition held is given back when it ends."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_rows: int = CHUNK_ROWS, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -26,7 +26,7 @@ import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, clear_name, in_arrow, without_outputs
+from loomline.llm.common import chunks, clear_name, fetched, in_arrow, without_outputs
 
 PER_LANG = 5_000
 #: Languages that are learned, the most frequent first; each costs every task a table of counts.
@@ -152,7 +152,7 @@ def train(docs: DataFrame, train_if: Column, text_col: str = "text", lang_col: s
         return None
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(int(min(1.0, per_lang / sizes[k]) * (1 << 20))))])
     chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")])
-    found = chosen.select("text", "lang").transform(in_arrow, _train(langs), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = fetched(chosen.select("text", "lang").transform(in_arrow, _train(langs), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     lang, bucket, n = (found.column(i).to_numpy() for i in range(3))
     counts, used = np.zeros((len(langs), BUCKETS), np.int64), np.zeros((len(langs), len(SCRIPTS)), np.int64)
     gram = bucket >= 0

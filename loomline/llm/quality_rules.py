@@ -23,7 +23,7 @@ import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import chunks, clear_name, in_arrow, without_outputs
+from loomline.llm.common import chunks, clear_name, fetched, in_arrow, without_outputs
 
 #: Texts of a partition's sample that costs and rejections are measured on, and the most bytes one may have.
 SAMPLE_ROWS = 50
@@ -182,7 +182,7 @@ def measured(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] =
         )
 
     few = docs.select(F.col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES)
-    found = few.transform(in_arrow, work, "cost boolean, key long, seconds double, n long").groupBy("cost", "key").agg(F.sum("seconds").alias("seconds"), F.sum("n").alias("n")).collect()
+    found = fetched(few.transform(in_arrow, work, "cost boolean, key long, seconds double, n long").groupBy("cost", "key").agg(F.sum("seconds").alias("seconds"), F.sum("n").alias("n"))).to_pylist()
     costs = {r["key"]: r["seconds"] / max(1, r["n"]) for r in found if r["cost"]}
     return Sample(tuple(costs.get(k, 0.0) for k in range(len(rules))), {r["key"]: r["n"] for r in found if not r["cost"]})
 

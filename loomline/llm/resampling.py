@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import Numbering, chunks, clear_name, in_arrow, written
+from loomline.llm.common import Numbering, chunks, clear_name, fetched, give_back, in_arrow, written
 from loomline.llm.exact_dedup import may_be_in
 from loomline.llm.simhash import text_key
 
@@ -127,7 +127,7 @@ def marked(docs: DataFrame, sample: DataFrame, id_col: str, name: str) -> DataFr
 def fit(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Counts over every document. The driver gets BUCKETS rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = marked(rows, sample, "id", "quality").select("quality", "text").transform(in_arrow, _count, "bucket int, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
+    found = fetched(marked(rows, sample, "id", "quality").select("quality", "text").transform(in_arrow, _count, "bucket int, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")))
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     raw[found.column(0).to_numpy()], good[found.column(0).to_numpy()] = found.column(1).to_numpy(), found.column(2).to_numpy()
     return Model(raw, good)
@@ -146,6 +146,8 @@ def log_weight(spark, text: Column, quality: Column, model: Model) -> Column:
                 is_good = np.array(part.column(1).to_pylist(), bool)
                 out.append(np.round(shared.value.weights(*hashes.ngrams(texts), is_good), 6))
             yield pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())
+        del hashes
+        give_back()
 
     return weigh(text, F.coalesce(quality == 1, F.lit(False)))
 
