@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import Numbering, chunks, drop, in_arrow, written
+from loomline.llm.common import Numbering, chunks, drop, fetched, in_arrow, written
 
 HEAD = 1_000
 CLASSES = 64
@@ -57,6 +57,9 @@ CHUNK_BYTES = 8 << 20
 #: Rows of rare words, and counts of contexts, that are worked on at a time.
 BLOCK = 20_000
 CONTEXTS = 4_000_000
+#: Entries whose gains are held at a time (a row of CLASSES numbers each, a few times over), and bytes of class sequences scored at a time.
+ENTRIES = 1 << 14
+SCORE_BYTES = 1 << 20
 #: The end token; no word is empty. Its number is 0, its class END_CLASS.
 END = b""
 END_CLASS = CLASSES
@@ -231,15 +234,27 @@ def group_numbers(column: pa.Array) -> np.ndarray:
 
 
 def _sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in whole_groups(batches, 0, 2_000):
-        words = batch.column(0).to_numpy()
+    """For partitions sorted by word: a row per word. Of the last word only sums are held, however many rows it has."""
+    keys, total = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def rows(n: int) -> pa.RecordBatch:
+        word = keys[:n] >> 16
+        cuts = np.append(np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))), n)
+        return pa.RecordBatch.from_arrays([pa.array(word[cuts[:-1]], pa.int32()), _binaries((keys[:n] & 0xFFFF).astype("<u2"), cuts), _binaries(total[:n].astype("<i8"), cuts)], ["word", "codes", "times"])
+
+    for batch in batches:
         codes, sizes = _joined(batch.column(1), "<u2")
-        times, _ = _joined(batch.column(2), "<u4")
-        keys, at = np.unique(np.repeat(words.astype(np.int64), sizes) << 16 | codes, return_inverse=True)
+        if not len(codes):
+            continue
+        more = np.repeat(batch.column(0).to_numpy().astype(np.int64), sizes) << 16 | codes
+        times = np.concatenate((total, _joined(batch.column(2), "<u4")[0]))
+        keys, at = np.unique(np.concatenate((keys, more)), return_inverse=True)
         total = np.bincount(at, times, len(keys)).astype(np.int64)
-        word = keys >> 16
-        cuts = np.append(np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))), len(word))
-        yield pa.RecordBatch.from_arrays([pa.array(word[cuts[:-1]], pa.int32()), _binaries((keys & 0xFFFF).astype("<u2"), cuts), _binaries(total.astype("<i8"), cuts)], ["word", "codes", "times"])
+        if done := int(np.searchsorted(keys, keys[-1] >> 16 << 16)):  # the last word may go on
+            yield rows(done)
+            keys, total = keys[done:], total[done:]
+    if len(keys):
+        yield rows(len(keys))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -301,23 +316,33 @@ def best_classes(word: np.ndarray, code: np.ndarray, times: np.ndarray, words: i
     """The class for each of `words` words that most raises the likelihood of the class bigrams in table.
 
     Entries: word, times, and a code: the class before, or, from len(table) on, the class after; sorted by word, every
-    word has some. The words don't see each other.
+    word has some. The words don't see each other, so they are taken a few at a time, of about ENTRIES entries together.
     """
     k = len(table)
-    start = np.searchsorted(word, np.arange(words))
-    n = np.add.reduceat(np.where(code >= k, 0, times), start)  # as many classes stand before as after
+    starts = np.searchsorted(word, np.arange(words + 1))
     both = np.concatenate((table[:, :classes], table.T[:, :classes]))  # row: code; column: the class that a word may go to
     base = _xlogx(both)
     once = _xlogx(both + 1) - base
-    gain = np.empty((len(code), classes))
-    single = times == 1
-    gain[single] = once[code[single]]
-    more = ~single
-    gain[more] = _xlogx(both[code[more]] + times[more, None]) - base[code[more]]
-    out = np.add.reduceat(gain, start, axis=0)
-    for margin in (table.sum(0)[:classes], table.sum(1)[:classes]):
-        out -= _xlogx(margin + n[:, None]) - _xlogx(margin)
-    return out.argmax(1)
+
+    def best(code: np.ndarray, times: np.ndarray, start: np.ndarray) -> np.ndarray:
+        n = np.add.reduceat(np.where(code >= k, 0, times), start)  # as many classes stand before as after
+        gain = np.empty((len(code), classes))
+        single = times == 1
+        gain[single] = once[code[single]]
+        more = ~single
+        gain[more] = _xlogx(both[code[more]] + times[more, None]) - base[code[more]]
+        out = np.add.reduceat(gain, start, axis=0)
+        for margin in (table.sum(0)[:classes], table.sum(1)[:classes]):
+            out -= _xlogx(margin + n[:, None]) - _xlogx(margin)
+        return out.argmax(1)
+
+    found, a = np.empty(words, np.int64), 0
+    while a < words:
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + ENTRIES, "right")) - 1)
+        low, high = starts[a], starts[b]
+        found[a:b] = best(code[low:high], times[low:high], starts[a:b] - low)
+        a = b
+    return found
 
 
 @dataclass
@@ -364,7 +389,7 @@ def fit_known(texts: DataFrame, head: int = HEAD, known: int = KNOWN) -> Model:
     of = np.zeros(len(words), np.int64)
     of[0] = END_CLASS
     of[1 : head + 1] = unit_class[:head]
-    rest = found.filter(F.col("word") >= size).transform(in_arrow, assign, "word int, class int").toArrow()
+    rest = fetched(found.filter(F.col("word") >= size).transform(in_arrow, assign, "word int, class int"))
     of[rest.column(0).to_numpy() - size + head + 1] = rest.column(1).to_numpy()
     votes = np.zeros((ENDINGS, CLASSES), np.int64)
     np.add.at(votes, (ending(words[1:], ENDINGS), of[1:]), 1)
@@ -441,7 +466,8 @@ def _total(rows: DataFrame, k: int) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
-    found = rows.filter(F.col("pairs").isNotNull()).select("pairs").transform(in_arrow, work, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    found = rows.filter(F.col("pairs").isNotNull()).select("pairs").transform(in_arrow, work, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    found = fetched(found)
     total = np.zeros(k)
     total[found.column(0).to_numpy()] = found.column(1).to_numpy()
     return total
@@ -465,10 +491,7 @@ def _classify(table: np.ndarray, endings: np.ndarray, tell_word: bool):
             if len(seen):
                 rank = np.zeros(len(words), np.int64)
                 rank[seen] = np.arange(len(seen))
-                for i in range(0, len(seen), 4096):  # few at a time: the gains take a row per entry
-                    low, high = np.searchsorted(keys, [seen[i] * 2 * size, (seen[min(i + 4096, len(seen)) - 1] + 1) * 2 * size])
-                    some = keys[low:high]
-                    classes[seen[i : i + 4096]] = best_classes(rank[some // (2 * size)] - i, some % (2 * size), times[low:high], len(seen[i : i + 4096]), table)
+                classes[seen] = best_classes(rank[keys // (2 * size)], keys % (2 * size), times, len(seen), table)
             told = [batch.column(1), batch.column(2), pa.array(n[group]), pa.array(classes[group], pa.int32()), pa.array(first)]
             yield pa.RecordBatch.from_arrays([*([batch.column(0)] if tell_word else []), *told], [*(["word"] if tell_word else []), "chunk", "places", "n", "class", "first"])
 
@@ -564,7 +587,7 @@ def fit_and_score(docs: DataFrame, train_if: Column, id_col: str = "doc_id", tex
     n, v = model.tokens, model.words
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, _ in chunks(batches, "seq", max_bytes=SCORE_BYTES):  # the session's own batches may hold many long sequences
             seq, sizes = _joined(batch.column(5), "u1")
             codes = seq.astype(np.int64)
             new = codes >= UNSEEN

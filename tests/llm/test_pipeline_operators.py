@@ -4,11 +4,13 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -338,6 +340,40 @@ def test_best_classes_raise_the_likelihood_most():
         assert worth[best] == pytest.approx(max(worth))
 
 
+def test_best_classes_hold_few_gains_at_a_time(monkeypatch):
+    rng = np.random.default_rng(12)
+    table = rng.poisson(6, (81, 81)).astype(float)
+    words, each = 1500, 160
+    word, times = np.repeat(np.arange(words), each), rng.integers(1, 9, words * each)
+    code = np.concatenate([np.sort(rng.choice(162, each, replace=False)) for _ in range(words)])
+    tracemalloc.start()
+    got = class_lm.best_classes(word, code, times, words, table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # the gains of all entries are 123 MB
+    monkeypatch.setattr(class_lm, "ENTRIES", 1)  # less than a word has
+    assert class_lm.best_classes(word, code, times, words, table).tolist() == got.tolist()
+    monkeypatch.setattr(class_lm, "ENTRIES", 1 << 40)
+    assert class_lm.best_classes(word, code, times, words, table).tolist() == got.tolist()
+
+
+def test_contexts_of_a_word_in_many_batches_are_summed():
+    rng = np.random.default_rng(11)
+    seen, batches = defaultdict(Counter), []
+    rows = sorted(rng.choice([3, 4, 9], 400).tolist())
+    for i in range(0, len(rows), 7):
+        some = [(w, sorted(rng.choice(50, 12, replace=False).tolist()), rng.integers(1, 5, 12)) for w in rows[i : i + 7]]
+        for w, codes, times in some:
+            seen[w].update(dict(zip(codes, times.tolist(), strict=True)))
+        batches.append(pa.RecordBatch.from_arrays([pa.array([x[0] for x in some], pa.int32()), pa.array([np.array(x[1], "<u2").tobytes() for x in some], pa.binary()), pa.array([x[2].astype("<u4").tobytes() for x in some], pa.binary())], ["word", "codes", "times"]))
+    got = []
+    for b in class_lm._sum_contexts(iter(batches)):
+        for w, codes, times in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            got.append(w)
+            assert dict(zip(np.frombuffer(codes, "<u2").tolist(), np.frombuffer(times, "<i8").tolist(), strict=True)) == dict(seen[w])
+    assert got == [3, 4, 9] and list(class_lm._sum_contexts(iter([batches[0].slice(0, 0)]))) == []
+
+
 def test_exchange_never_lowers_the_likelihood():
     table = RNG.poisson(2, (30, 30)).astype(float)
     table[:10, 10:20] += 9
