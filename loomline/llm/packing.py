@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import Numbering, chunks, in_arrow, written
+from loomline.llm.common import CHUNK_BYTES, Numbering, chunks, in_arrow, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -66,7 +66,7 @@ def _gather(ids: np.ndarray, begins: np.ndarray, lengths: np.ndarray, at: np.nda
 class WordIds:
     """The ids of words. Many words are encoded as one text, parted by a word whose single id no other word has."""
 
-    def __init__(self, tokenizer_path: str, separator: str = SEPARATOR):
+    def __init__(self, tokenizer_path: str, separator: str = SEPARATOR, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -74,6 +74,7 @@ class WordIds:
         self.is_end = np.zeros(self.encoder.get_vocab_size(), bool)
         self.is_end[[i for t, i in self.encoder.get_vocab().items() if t.endswith(self.encoder.model.end_of_word_suffix or "</w>")]] = True
         self.separator, (self.mark,) = separator, self.encoder.encode(separator, add_special_tokens=False).ids
+        self.cache_words = cache_words
         self.clear()
 
     def clear(self) -> None:
@@ -116,7 +117,7 @@ class WordIds:
 
     def look(self, words: list[bytes]) -> np.ndarray:
         """The words' numbers."""
-        if len(self.at) > CACHE_WORDS:
+        if len(self.at) > self.cache_words:
             self.clear()
         out = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
         if new := self.at.take():
@@ -147,14 +148,14 @@ def token_ids(texts: list[bytes], words: WordIds) -> tuple[np.ndarray, np.ndarra
     return _gather(ids, np.cumsum(lengths) - lengths, lengths, at), np.diff(np.concatenate(([0], ends[last])))
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, cache_words: int = CACHE_WORDS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, task and the piece's rank among those of its length in the task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = WordIds(tokenizer_path, cache_words=cache_words)
         task = TaskContext.get().partitionId()
         before = np.zeros(capacity + 1, np.int64)  # pieces of each length in the chunks before
-        for part, texts in chunks(batches, "text"):
+        for part, texts in chunks(batches, "text", max_bytes=chunk_bytes):
             ids, n = token_ids(texts, words)
             count = -(-n // capacity)
             doc = np.repeat(np.arange(len(n)), count)
@@ -275,9 +276,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Run], i
     return runs, opened
 
 
-def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """Each piece with its sequence_id and its offset there."""
-    cut = written(pieces(docs, tokenizer_path, id_col, text_col, capacity), "pack-pieces")
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, cache_words: int = CACHE_WORDS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Each piece with its sequence_id and its offset there.
+
+    cache_words, chunk_bytes: words whose ids a task remembers, and text it handles at a time. They change memory and time only.
+    """
+    cut = written(pieces(docs, tokenizer_path, id_col, text_col, capacity, cache_words, chunk_bytes), "pack-pieces")
     by_task = written(cut.groupBy("length", "task").agg(F.count("*").alias("n")), "pack-counts")
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     runs, _ = plan(counts, capacity)

@@ -37,6 +37,8 @@ MOST_LOST = 0.002
 #: Sightings of each bucket that the models are smoothed with.
 PRIOR = 20.0
 CACHE_WORDS = 300_000
+#: Bytes of text whose n-grams are in memory at a time (a longer text makes a chunk of its own).
+CHUNK_BYTES = 1 << 19
 #: Scale of the Gumbel noise (1: an exact sample in proportion to the weights).
 NOISE = 1.0
 
@@ -79,7 +81,7 @@ class Hashes:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, raw, good = Hashes(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for part, texts in chunks(batches, "text"):
+    for part, texts in chunks(batches, "text", max_bytes=CHUNK_BYTES):
         text, buckets = hashes.ngrams(texts)
         raw += np.bincount(buckets, minlength=BUCKETS)
         is_good = np.array([x == 1 for x in part.column(0).to_pylist()], bool)
@@ -142,7 +144,7 @@ def log_weight(spark, text: Column, quality: Column, model: Model) -> Column:
         hashes = Hashes()
         for batch in batches:
             out = []
-            for part, texts in chunks(iter([pa.RecordBatch.from_arrays(list(batch), ["text", "good"])]), "text"):
+            for part, texts in chunks(iter([pa.RecordBatch.from_arrays(list(batch), ["text", "good"])]), "text", max_bytes=CHUNK_BYTES):
                 is_good = np.array(part.column(1).to_pylist(), bool)
                 out.append(np.round(shared.value.weights(*hashes.ngrams(texts), is_good), 6))
             yield pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())
