@@ -37,17 +37,23 @@ def documents(rows: DataFrame, kind: str, source_id: Column, license: str | None
     )
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, line (from 0, blank lines counted), file of text files: counted within each file, file by file in parallel.
+def in_places(rows: DataFrame) -> DataFrame:
+    """rows with file, line (the row's place in its file, from 0) and place (that over all files, in the order of their names).
 
-    A line's number is the sum of the lines of the file's splits before it and its place in its own split, so no file
-    has to be read by one task.
+    Rows are filters and columns of one scan; those that it leaves out aren't counted. A place is the sum of the rows of
+    the splits before it and the place in its own split, so no file has to be read by one task. Splits, a row each, are broadcast.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
-    sizes = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("place").alias("first"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return lines.join(bases, ["file", "block"]).select("value", (F.col("place") - F.col("first") + F.col("base")).alias("line"), "file")
+    at = rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    sizes = at.groupBy("file", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.orderBy("file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_start", F.min("_base").over(Window.partitionBy("file"))).drop("_n")
+    place = F.col("_at") - F.col("_first") + F.col("_base")
+    return at.join(F.broadcast(bases), ["file", "_block"]).select(*rows.columns, "file", (place - F.col("_start")).alias("line"), place.alias("place"))
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, line (from 0, blank lines counted), file of text files, and each line's place over all files, in the order of their names."""
+    return in_places(spark.read.text(path).select("value", "_metadata"))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -83,17 +89,20 @@ def place_in_files(found: DataFrame) -> Column:
     return at
 
 
-def read_parquet(spark: SparkSession, path: str, text_field: str = "text", id_field: str = "id", license: str | None = None, order: str | None = None) -> DataFrame:
-    """Only text and id are read. Without an id column ids are the file's name and the row's place in it."""
+def read_parquet(spark: SparkSession, path: str, text_field: str = "text", id_field: str = "id", license: str | None = None, order: str | None = None, dense: bool = False) -> DataFrame:
+    """Only text and id are read. Without an id column ids are the file's name and the row's place in it.
+
+    ord is a column, or the place of place_in_files(); dense: the place among all rows with text, over all files.
+    """
     found = spark.read.parquet(path)
-    place = F.col(order).cast("long") if order else place_in_files(found)
     given = F.col(id_field).cast("string") if id_field in found.columns else F.lit(None).cast("string")
     text = F.col(text_field)
     if isinstance(found.schema[text_field].dataType, (T.FloatType, T.DoubleType)):
         text = F.when(~F.isnan(text), text)
-    rows = found.select(given.alias("given"), text.cast("string").alias("text"), place.alias("ord"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    rows = rows.filter(F.length("text") > 0).withColumn("id", F.coalesce("given", F.concat_ws("-", stem(F.col("file")), "row")))
-    return documents(rows, "file", F.col("file"), license)
+    place = F.lit(None).cast("long") if dense else F.col(order).cast("long") if order else place_in_files(found)
+    rows = found.select(given.alias("given"), text.cast("string").alias("text"), place.alias("ord"), F.col("_metadata.row_index").alias("row"), "_metadata").filter(F.length("text") > 0)
+    rows = in_places(rows).withColumn("ord", F.col("place")) if dense else rows.withColumn("file", F.col("_metadata.file_path"))
+    return documents(rows.withColumn("id", F.coalesce("given", F.concat_ws("-", stem(F.col("file")), "row"))), "file", F.col("file"), license)
 
 
 def read_text(spark: SparkSession, path: str, license: str | None = None) -> DataFrame:
