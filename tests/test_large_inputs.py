@@ -34,3 +34,7 @@ def test_parquet_rows_with_text_are_counted_over_files(spark, sf_dir):
 
 def test_export_leaves_out_documents_without_text(spark, sf_dir):
     same_as_sql(spark, sf_dir, "export_jsonl")
+
+
+def test_sources_of_several_files_keep_apart(spark, sf_dir):
+    same_as_sql(spark, sf_dir, "collect_sources")
