@@ -1,8 +1,12 @@
 """Tables of several files, with rows without text, as large inputs have them."""
 
+import hashlib
+import time
+
 import duckdb
 import pytest
 
+from loomline.functions import vectors
 from loomline.queries import oracle_sql, queries
 
 
@@ -38,3 +42,28 @@ def test_export_leaves_out_documents_without_text(spark, sf_dir):
 
 def test_sources_of_several_files_keep_apart(spark, sf_dir):
     same_as_sql(spark, sf_dir, "collect_sources")
+
+
+def test_hash_embedding_of_repeated_and_null_ids(spark, tmp_path):
+    """Rows of one id are one text's, those without an id too (left out before); characters of two to four bytes."""
+    con = duckdb.connect()
+    (tmp_path / "documents.parquet").mkdir()
+    rows = "SELECT 1 AS doc_id, repeat('long text ', 40) AS text UNION ALL SELECT 1, 'more of it' UNION ALL SELECT 2, 'ab' UNION ALL SELECT 3, '' UNION ALL SELECT NULL, 'null id' UNION ALL SELECT 4, 'é€😀 e\u0301x' UNION ALL SELECT NULL, 'once more'"
+    con.sql(f"COPY ({rows}) TO '{tmp_path}/documents.parquet/a.parquet'")
+    same_as_sql(spark, tmp_path, "hash_embedding")
+
+
+def test_embedding_of_a_very_long_text(spark):
+    """Time grew with the square of a text's length before."""
+    df = spark.createDataFrame([(1, "long text " * 100_000)], "doc_id long, text string")
+    began = time.perf_counter()
+    assert sum(r["weight"] ** 2 for r in vectors.embed_sparse(df).collect()) == pytest.approx(1)
+    assert time.perf_counter() - began < 30
+
+
+def test_grams_that_share_a_place_keep_their_buckets(monkeypatch):
+    monkeypatch.setattr(vectors, "TABLE_BITS", 2)
+    texts = ["the quick brown fox", "", "ab", "jumps over the dog"]
+    owner, bucket = vectors.Buckets(256, 3).of(texts)
+    plain = sorted((i, int(hashlib.md5(g.encode()).hexdigest(), 16) % 256) for i, t in enumerate(texts) for g in ([t[k : k + 3] for k in range(len(t) - 2)] or ([t] if t else [])))
+    assert sorted(zip(owner.tolist(), bucket.tolist(), strict=True)) == plain
