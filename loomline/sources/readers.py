@@ -72,7 +72,7 @@ def read_jsonl(spark: SparkSession, path: str, text_field: str = "text", id_fiel
     """A document per line with text. Ids default to file and line number; other keys become metadata; `language` is taken over."""
     lines = numbered_lines(spark, path).filter(F.length(X.strip(F.col("value"))) > 0)
     parsed = lines.withColumn("m", F.from_json("value", "map<string,string>"))
-    rows = parsed.select(F.coalesce(F.col("m")[id_field], F.concat_ws("-", stem(F.col("file")), "line")).alias("id"), F.col("m")[text_field].alias("text"), "m", F.col("line").alias("ord"), "file").filter(F.length("text") > 0)
+    rows = parsed.select(F.coalesce(F.col("m")[id_field], F.concat_ws("-", stem(F.col("file")), "line")).alias("id"), F.col("m")[text_field].alias("text"), "m", F.col("place").alias("ord"), "file").filter(F.length("text") > 0)
     rest = F.map_filter("m", lambda k, v: ~k.isin(text_field, id_field, "language"))
     return documents(rows, "file", F.col("file"), license, language=F.col("m")["language"], metadata=rest)
 
@@ -249,10 +249,10 @@ def read_api(spark: SparkSession, payloads: list[dict | list], endpoint: str = "
 
 
 def read_warc_lines(spark: SparkSession, path: str, license: str = "Common Crawl ToU", extract: Callable[[Column], Column] = X.html_text) -> DataFrame:
-    """A document per line of address, tab, html; other lines are left out but counted."""
+    """A document per line of address, tab, html; other lines are left out but counted, from file to file in the order of names."""
     lines = numbered_lines(spark, path).filter(F.contains("value", F.lit("\t")))
     part = F.split("value", "\t", 2)
-    rows = lines.select(F.concat(F.lit("cc-"), "line").alias("id"), extract(part[1]).alias("text"), F.col("line").alias("ord"), part[0].alias("uri")).filter(F.length("text") > 0)
+    rows = lines.select(F.concat(F.lit("cc-"), "place").alias("id"), extract(part[1]).alias("text"), F.col("place").alias("ord"), part[0].alias("uri")).filter(F.length("text") > 0)
     return documents(rows, "warc", F.col("uri"), license)
 
 
@@ -359,10 +359,10 @@ def with_durations(samples: DataFrame, durations: DataFrame) -> DataFrame:
 def read_common_voice(spark: SparkSession, path: str, language: str | None = None, clips_dir: str | None = None, durations: Callable[[Column], Column] = wav_duration) -> DataFrame:
     """Audio samples of a Common Voice table; rows without a sentence are left out but counted."""
     lines = numbered_lines(spark, path)
-    names = [c.strip() for c in lines.filter("line = 0").first()["value"].split("\t")]
+    names = [c.strip() for c in lines.filter("place = 0").first()["value"].split("\t")]
     clips = clips_dir or f"{path.rpartition('/')[0] or '.'}/clips"
     row = F.from_csv("value", F.lit(", ".join(f"`{c}` string" for c in names)), {"sep": "\t", "quote": '"', "escape": '"'})
-    rows = lines.filter("line > 0 and length(value) > 0").select((F.col("line") - 1).alias("ord"), row.alias("r")).select("ord", "r.*")
+    rows = lines.filter("place > 0 and length(value) > 0").select((F.col("place") - 1).alias("ord"), row.alias("r")).select("ord", "r.*")
     get = lambda c: F.col(c) if c in names else F.lit(None).cast("string")
     sentence = X.strip(F.coalesce(get("sentence"), F.lit("")))
     votes = lambda c: F.coalesce(F.expr(f"try_cast(`{c}` as int)") if c in names else F.lit(0), F.lit(0)).cast("string")
@@ -386,7 +386,7 @@ def read_openslr(spark: SparkSession, path: str, audio_dir: str, language: str |
     """Audio samples of a transcript file: utterance id, white space, transcript."""
     pattern = rf"(?s)\A({X.NOT_WS}+){X.WS}+(.+)\z"
     line = X.strip(F.col("value"))
-    rows = numbered_lines(spark, path).select(F.regexp_extract(line, pattern, 1).alias("id"), F.regexp_extract(line, pattern, 2).alias("transcript"), F.col("line").alias("ord")).filter(F.length("id") > 0)
+    rows = numbered_lines(spark, path).select(F.regexp_extract(line, pattern, 1).alias("id"), F.regexp_extract(line, pattern, 2).alias("transcript"), F.col("place").alias("ord")).filter(F.length("id") > 0)
     audio = F.concat(F.lit(f"{audio_dir}/"), "id", F.lit(ext))
     speaker = F.regexp_extract("id", r"(?s)\A(.*)_[^_]*\z", 1)
     return rows.select(
@@ -411,7 +411,7 @@ SEEDS = "id string, instruction string, input string, output string, language st
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """Instruction examples with their defaults and their line as order."""
-    lines = numbered_lines(spark, path).filter(F.length(X.strip(F.col("value"))) > 0).select(F.from_json("value", SEEDS).alias("s"), F.col("line").alias("ord")).select("s.*", "ord")
+    lines = numbered_lines(spark, path).filter(F.length(X.strip(F.col("value"))) > 0).select(F.from_json("value", SEEDS).alias("s"), F.col("place").alias("ord")).select("s.*", "ord")
     return lines.withColumns({"input": F.coalesce("input", F.lit("")), "task_type": F.coalesce("task_type", F.lit("open_qa")), "origin": F.coalesce("origin", F.lit("synthetic"))})
 
 
