@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,7 +25,7 @@ ANCHOR = rf"\p{{Nd}}+|https?://{NOT_WS}+|[A-Z][a-zA-Z]{{2,}}"
 
 
 #: Bytes of text and rows that a Python function turns into objects at a time.
-PIECE_BYTES, PIECE_ROWS = 1 << 20, 1000
+PIECE_BYTES, PIECE_ROWS = 1 << 18, 1000
 
 
 def in_pieces(batch: pa.Array) -> Iterator[pa.Array]:
@@ -40,13 +42,43 @@ def in_pieces(batch: pa.Array) -> Iterator[pa.Array]:
 
 def _compose(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        yield pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in batch.to_pylist()], pa.string())
+        for piece in in_pieces(batch):
+            yield pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in piece.to_pylist()], pa.string())
+
+
+@cache
+def uncomposed() -> str:
+    """A pattern that every text has which canonical composition changes.
+
+    By the quick check of Unicode's annex 15: characters that don't stay, or may be composed with the one before, and marks
+    in a row (which may be out of order). All others are in place, whatever is beside them.
+    """
+    moves, marks = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3)), []  # vowels and ends of Korean syllables
+    for c in map(chr, chain(range(0xD800), range(0xE000, 0x110000))):
+        if unicodedata.combining(c):
+            marks.append(ord(c))
+        parts = unicodedata.decomposition(c)
+        if parts and parts[0] != "<":
+            moves |= {int(x, 16) for x in parts.split()[1:]}
+            if not unicodedata.is_normalized("NFC", c):
+                moves.add(ord(c))
+
+    def ranges(codes: Iterable[int]) -> str:
+        found: list[list[int]] = []
+        for x in sorted(codes):
+            if found and x == found[-1][1] + 1:
+                found[-1][1] = x
+            else:
+                found.append([x, x])
+        return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in found) + "]"
+
+    return f"{ranges(moves)}|{ranges(marks)}{{2}}"
 
 
 def nfc(text: Column) -> Column:
-    """Canonical composition. Spark has none built in; only texts outside ASCII reach Python, the rest are nulls there."""
+    """Canonical composition. Spark has none built in; only texts that it may change reach Python, the rest are nulls there."""
     composed = F.arrow_udf(_compose, T.StringType())
-    return F.coalesce(composed(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    return F.coalesce(composed(F.when(text.rlike(r"[^\x00-\x{2FF}]"), F.when(text.rlike(uncomposed()), text))), text)
 
 
 def let(value: Column, body) -> Column:
