@@ -20,14 +20,22 @@ AMBIGUOUS = ("hi", "bn")
 def detect(text: Column) -> Column:
     """struct(language, confidence): the script with most characters, on ties the one that occurs first; null, 0.0 for none.
 
-    A script's characters are counted by what is left without the others, one pass each with no array of matches.
+    A script's characters are counted by what is left without the others, one pass each with no array of matches. All
+    scripts but the last lie in one range, so they are counted in the text's characters of that; places are looked for on ties.
     """
 
     def of(t: Column) -> Column:
-        count = lambda r: F.length(F.regexp_replace(t, f"[^{r}]++", ""))
-        each = [F.struct(count(r).alias("n"), (-F.regexp_instr(t, F.lit(f"[{r}]"))).alias("first"), F.lit(code).alias("code")) for code, r in RANGES]
+        count = lambda x, r: F.length(F.regexp_replace(x, f"[^{r}]++", ""))
+        latin, last = RANGES[-1][1], RANGES[-1][0]
+        best_of = lambda counts: let(F.array_max(counts), lambda top: F.array_max(F.array(*[one(counts[k], top, r, code) for k, (code, r) in enumerate(RANGES)])))
+
+        def one(n: Column, top: Column, r: str, code: str) -> Column:
+            first = F.when((n == top) & (n > 0), -F.regexp_instr(t, F.lit(f"[{r}]"))).otherwise(F.lit(0))
+            return F.struct(n.alias("n"), first.alias("first"), F.lit(code).alias("code"))
+
+        several = let(F.regexp_replace(t, r"[^\x{600}-\x{dff}]++", ""), lambda s: let(F.array(*[count(s, r) for _, r in RANGES[:-1]], count(t, latin)), best_of))
         # Most texts hold no character of any script but the last: they need its count only.
-        best = F.when(t.rlike(r"[\x{600}-\x{dff}]"), F.array_max(F.array(*each))).otherwise(each[-1])
+        best = F.when(t.rlike(r"[\x{600}-\x{dff}]"), several).otherwise(F.struct(count(t, latin).alias("n"), F.lit(0).alias("first"), F.lit(last).alias("code")))
         return let(F.struct(best.alias("best"), F.length(F.regexp_replace(t, r"[\p{C}\p{Z}]++", "")).alias("visible")), told)
 
     def told(x: Column) -> Column:
