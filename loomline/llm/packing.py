@@ -294,8 +294,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     of_groups = grouped.groupBy(F.col("length").alias("length3"), F.col("group").alias("group3")).agg(F.sum("n").alias("n"))
     of_groups = of_groups.select("length3", "group3", F.coalesce(F.sum("n").over(before("length3", order="group3")), F.lit(0)).alias("far"))
     within = grouped.withColumn("near", F.coalesce(F.sum("n").over(before("length", "group", order="task")), F.lit(0)))
-    bases = within.join(of_groups, (F.col("length") == F.col("length3")) & (F.col("group") == F.col("group3"))).select(F.col("length").alias("length2"), F.col("task").alias("task2"), (F.col("near") + F.col("far")).alias("base"))
-    ranked = cut.join(bases, (F.col("length") == F.col("length2")) & (F.col("task") == F.col("task2"))).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("rank"))
+    bases = within.join(of_groups.hint("merge"), (F.col("length") == F.col("length3")) & (F.col("group") == F.col("group3"))).select(F.col("length").alias("length2"), F.col("task").alias("task2"), (F.col("near") + F.col("far")).alias("base"))
+    # Parquet folds counts of tasks to few bytes, by which Spark would broadcast them: they grow with the tasks.
+    ranked = cut.join(bases.hint("merge"), (F.col("length") == F.col("length2")) & (F.col("task") == F.col("task2"))).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("rank"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = shared.value
